@@ -11,11 +11,10 @@ from pyspark.sql import types as T
 
 from starmart import schemas
 from starmart.fixed_values import UNKNOWN_PRODUCT_ID
-from starmart.operators import asof, quality, scd2, staging, upsert
+from starmart.operators import asof, ordering, quality, scd2, staging, upsert
 from starmart.operators.latest import latest_by_key
-from starmart.operators.ordering import assign_sequential_id, global_rank
-from starmart.plans import dimensions, inputs, reports
-from starmart.plans.fact import LINE_KEY, fact_order_items, order_items_usd
+from starmart.plans import dimensions, fact, inputs, reports
+from starmart.plans.fact import LINE_KEY
 from starmart.sources import landing, readers
 from starmart.sources.sinks import write_report_csv
 from starmart.storage import land, new_path, write_clustered
@@ -76,7 +75,7 @@ def _products(spark, d):
 
 def _fact(spark, d, items=None):
     items = _items(spark, d) if items is None else items
-    return fact_order_items(items, _orders(spark, d), _rates(spark, d), _products(spark, d))
+    return fact.fact_order_items(items, _orders(spark, d), _rates(spark, d), _products(spark, d))
 
 
 def _landed_fact(spark, d):
@@ -138,10 +137,10 @@ def fx_json_flatten(spark, d):
 
 
 @query
-def assign_sequential_id_lines(spark, d):
+def assign_sequential_id(spark, d):
     columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
     lines = inputs.table(spark, d, "lineitem").select(*columns, "l_quantity")
-    return assign_sequential_id(lines, "id", columns)
+    return ordering.assign_sequential_id(lines, "id", columns)
 
 
 @query
@@ -221,20 +220,20 @@ def fx_asof_ranked(spark, d):
 
 
 @query
-def order_items_usd_left(spark, d):
-    return order_items_usd(_items(spark, d), _landed_orders(spark, d), _rates(spark, d))
+def order_items_usd(spark, d):
+    return fact.order_items_usd(_items(spark, d), _landed_orders(spark, d), _rates(spark, d))
 
 
 @query
 def order_items_usd_inner(spark, d):
-    return order_items_usd(_items(spark, d), _landed_orders(spark, d), _rates(spark, d), "inner")
+    return fact.order_items_usd(_items(spark, d), _landed_orders(spark, d), _rates(spark, d), "inner")
 
 
 # --- marts --------------------------------------------------------------------------
 
 
 @query
-def fact_order_items_full(spark, d):
+def fact_order_items(spark, d):
     return _fact(spark, d)
 
 
@@ -320,8 +319,8 @@ def top10_products(spark, d):
 def rank_lines_by_amount(spark, d):
     """The distributed rank, over every line."""
     lines = _items(spark, d).select("order_item_id", "line_amount_native", "quantity")
-    by_amount = global_rank(lines, "line_amount_native", "rank_by_amount", LINE_KEY)
-    return global_rank(by_amount, "quantity", "rank_by_quantity", LINE_KEY)
+    by_amount = ordering.global_rank(lines, "line_amount_native", "rank_by_amount", LINE_KEY)
+    return ordering.global_rank(by_amount, "quantity", "rank_by_quantity", LINE_KEY)
 
 
 @query
@@ -372,8 +371,9 @@ def export_dq_exceptions(spark, d):
     report = quality.exceptions(_fact(spark, d))
     order = [F.col("order_date"), F.col("order_item_id")]
     write_report_csv(report, path, columns.fieldNames(), order)
-    written = spark.read.schema(columns).option("header", True).option("emptyValue", "").csv(path)
-    return written
+    written = spark.read.schema(columns).option("header", True).csv(path)
+    # a CSV file does not tell "no reason" from NULL; the report has no NULL here
+    return written.fillna("", "exception_reasons")
 
 
 @query
@@ -510,16 +510,16 @@ def dq_rate_anomaly(spark, d):
 
 @query
 def reconcile_totals(spark, d):
-    fact, products = _landed_fact(spark, d), _products(spark, d)
-    totals = quality.reconcile(fact, reports.top_products(fact, products))
+    lines, products = _landed_fact(spark, d), _products(spark, d)
+    totals = quality.reconcile(lines, reports.top_products(lines, products))
     return _rounded(totals, 2, "fact_revenue_usd", "reported_revenue_usd", "unknown_revenue_usd")
 
 
 @query
 def unknown_product_bucket(spark, d):
     """What the placeholder product has collected, by currency."""
-    fact = _fact(spark, d).filter(F.col("product_id") == UNKNOWN_PRODUCT_ID)
-    return fact.groupBy("currency").agg(
+    unknown = _fact(spark, d).filter(F.col("product_id") == UNKNOWN_PRODUCT_ID)
+    return unknown.groupBy("currency").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum("quantity").alias("units"),
         F.round(F.sum("line_amount_usd"), 2).alias("revenue_usd"),
@@ -532,10 +532,9 @@ def unknown_product_bucket(spark, d):
 @query
 def landing_latest_by_key(spark, d):
     """Price changes streamed into the landing table, then the newest per product."""
-    lines = (
-        spark.readStream.schema(inputs.table(spark, d, "lineitem").schema)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(f"{d}/lineitem.parquet")
+    # a glob, because a stream's plain path must be a folder and the table may be a file
+    lines = spark.readStream.schema(inputs.table(spark, d, "lineitem").schema).parquet(
+        f"{d}/lineitem.parquet*"
     )
     path, checkpoint = new_path(spark, "landing"), new_path(spark, "landing_state")
     start_landing(

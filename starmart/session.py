@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 def local_session(app: str, cores: str = "8", **extra: str) -> SparkSession:
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.session.timeZone": "UTC",
