@@ -198,10 +198,11 @@ def raw_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_product_changes(lines: DataFrame) -> DataFrame:
-    """Line items read as a change feed of part prices."""
+    """Line items read as a change feed of part prices, extracted at each month's end."""
     return lines.select(
         F.col("l_partkey").alias("product_id"),
         F.col("l_extendedprice").cast(PRICE).alias("price"),
         F.col("l_shipdate").alias("changed_at"),
+        F.last_day("l_shipdate").alias("extracted_at"),
         line_id(lines).alias("change_id"),
     )

@@ -470,7 +470,7 @@ _BODIES = {
         from fact where product_id = -1 group by currency""",
     "landing_latest_by_key": f"""
         select product_id, cast(price as double) as price, changed_at, change_id,
-               cast(changed_at as date) as extract_date
+               last_day(changed_at) as extracted_at, last_day(changed_at) as extract_date
         from (select l_partkey as product_id, cast(l_extendedprice as decimal(10,2)) as price,
                      l_shipdate as changed_at, {_LINE_ID} as change_id from lineitem)
         qualify row_number() over (partition by product_id

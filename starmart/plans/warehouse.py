@@ -14,12 +14,12 @@ from pyspark.sql import types as T
 from starmart.operators import staging
 from starmart.operators.quality import exceptions, raise_on_failure, run_tests
 from starmart.operators.scd2 import first_snapshot, snapshot
-from starmart.operators.upsert import high_water_mark, newer_than, upsert_days
+from starmart.operators.upsert import high_water_mark, newer_than, upsert_partitions
 from starmart.plans import dimensions, reports
 from starmart.plans.fact import fact_order_items
 from starmart.schemas import AMOUNT, AMOUNT_USD, PRICE, RATE
 from starmart.sources.sinks import write_report_csv
-from starmart.storage import path_exists, write_clustered
+from starmart.storage import land, path_exists, write_clustered
 
 FACT_SCHEMA = T.StructType(
     [
@@ -100,7 +100,7 @@ def load_fact(
     if path_exists(wh.spark, path):
         mark = since or high_water_mark(wh.fact()).first()[0]
         items = newer_than(items, mark)
-    upsert_days(path, fact_order_items(items, orders, rates, products))
+    upsert_partitions(path, fact_order_items(items, orders, rates, products))
 
 
 def build(
@@ -144,7 +144,7 @@ def _replace(wh: Warehouse, table: str, df: DataFrame) -> None:
 
 def write_raw_orders(wh: Warehouse, raw: DataFrame) -> None:
     """Raw orders by day, clustered by customer."""
-    dated = raw.withColumn("order_day", F.col("order_date").cast("date"))
+    dated = land(raw.withColumn("order_day", F.col("order_date").cast("date")), "raw_orders")
     write_clustered(
         dated, wh.path("raw", "orders"), "order_day", ("customer_id",), "id", mode="overwrite"
     )

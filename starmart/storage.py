@@ -9,6 +9,9 @@ import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+ROWS_PER_TASK = 2_000_000
 
 _local_work_dir: str | None = None
 
@@ -45,15 +48,20 @@ def write_clustered(
     spread_by: str,
     mode: str = "errorifexists",
 ) -> None:
-    """Write one directory per ``partition_by`` value, rows clustered inside.
+    """Write a landed table as one directory per ``partition_by`` value, clustered inside.
 
-    The shuffle is by range over day, cluster columns and the unique ``spread_by``, so a
-    day that holds a third of all rows becomes many tasks and files, and every file
-    covers a narrow product range that row-group statistics can skip.
+    The shuffle is by range over partition, cluster columns and the unique ``spread_by``,
+    so a day that holds a third of all rows becomes many tasks and files, and every file
+    covers a narrow product range that row-group statistics can skip. The number of
+    tasks follows from the number of rows, so a small delta does not make small files.
     """
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(partition_by).alias("dirs"))
+    rows, dirs = size.first()
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-rows // ROWS_PER_TASK), min(parallel, dirs), 1)
     order = [partition_by, *cluster_by, spread_by]
     (
-        df.repartitionByRange(*order)
+        df.repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")

@@ -1,11 +1,12 @@
 """Continuous form of the nightly fact load."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from starmart.operators.latest import latest_by_key
 from starmart.operators.staging import stg_order_items
-from starmart.operators.upsert import upsert_days
 from starmart.plans.fact import fact_order_items
 
 
@@ -14,21 +15,22 @@ def start_fact_upserts(
     orders: DataFrame,
     rates: DataFrame,
     products: DataFrame,
-    path: str,
+    load: Callable[[DataFrame], None],
     checkpoint: str,
 ) -> StreamingQuery:
     """Process everything that has landed, then stop.
 
     The source offsets in the checkpoint take the place of the load mark, so lines that
     arrive late with an old stamp are not missed. A replayed micro-batch replaces the
-    same keys by the same rows.
+    same keys by the same rows. ``load`` writes one delta, normally with
+    ``upsert_partitions``.
     """
 
     def upsert(batch: DataFrame, _batch_id: int) -> None:
         lines = stg_order_items(batch)
         others = [c for c in lines.columns if c not in ("order_item_id", "_loaded_at")]
         newest = latest_by_key(lines, "order_item_id", ["_loaded_at", *others])
-        upsert_days(path, fact_order_items(newest, orders, rates, products))
+        load(fact_order_items(newest, orders, rates, products))
 
     return (
         raw_items.writeStream.foreachBatch(upsert)
