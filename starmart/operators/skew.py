@@ -11,44 +11,42 @@ TRACKED_KEYS = 10_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 32
 
-_FIXED_WIDTHS = {"boolean": 1, "int": 4, "date": 4, "bigint": 8, "timestamp_ntz": 8, "double": 8}
+_FIXED_WIDTHS = {"boolean": 1, "int": 4, "date": 4, "bigint": 8, "timestamp_ntz": 8, "decimal": 16}
 
-HotKeys = list[int]
-
-
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def find_hot_keys(df: DataFrame, *key_sets: list[str]) -> list[HotKeys]:
-    """Hashes of the keys that would overfill a shuffle partition, per key set.
+def find_hot_keys(df: DataFrame, keys: list[str]) -> list[int]:
+    """Hashes of the keys that would overfill a shuffle partition.
 
     One pass over the key columns with a bounded sketch, merged map-side. A key counts
     as hot from half an average partition on, so there are at most a thousand. The
     sketch only steers the layout; the join is exact whatever it returns.
     """
-    share = max(HOT_SHARE, 0.5 / _partitions(df))
-    names = [f"h{i}" for i in range(len(key_sets))]
-    hashed = df.select(*[F.xxhash64(*keys).alias(n) for keys, n in zip(key_sets, names)])
-    top = int(1 / share)
-    row = hashed.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.expr(f"approx_top_k({n}, {top}, {TRACKED_KEYS})").alias(n) for n in names],
-    ).first()
-    return [[k["item"] for k in row[n] or [] if k["count"] > share * row.n] for n in names]
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(HOT_SHARE, 0.5 / partitions)
+    row = (
+        df.select(F.xxhash64(*keys).alias("key"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.expr(f"approx_top_k(key, {int(1 / share)}, {TRACKED_KEYS})").alias("top"),
+        )
+        .first()
+    )
+    return [k["item"] for k in row.top or [] if k["count"] > share * row.rows]
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Hint a broadcast once the row count proves the table small.
+def is_small(df: DataFrame) -> bool:
+    """Whether the row count proves the table fit for a broadcast.
 
-    Only for fixed-width columns, where rows times width bounds the size. Anything
-    else is left to the optimizer's own size statistics.
+    Only for fixed-width columns, where rows times width bounds the size. Anything else
+    is left to the optimizer's own size statistics.
     """
-    widths = [_FIXED_WIDTHS.get(kind) for _, kind in df.dtypes]
+    widths = [_FIXED_WIDTHS.get(kind.split("(")[0]) for _, kind in df.dtypes]
     if None in widths:
-        return df
-    limit = BROADCAST_BYTES // (ROW_OVERHEAD_BYTES + sum(widths))
-    return F.broadcast(df) if df.count() <= limit else df
+        return False
+    return df.count() <= BROADCAST_BYTES // (ROW_OVERHEAD_BYTES + sum(widths))
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if is_small(df) else df
 
 
 def join_spread(
@@ -57,22 +55,22 @@ def join_spread(
     keys: list[str],
     how: str,
     spread_by: list[str],
-    hot: HotKeys | None = None,
     residual: Column | None = None,
 ) -> DataFrame:
     """Join a large ``left`` to a side with few rows per key.
 
-    Rows of hot keys go to as many partitions as the shuffle has, chosen by a hash of
+    A provably small ``right`` is broadcast: no shuffle, so no skew. Otherwise rows of
+    hot keys go to as many partitions as the shuffle has, chosen by a hash of
     ``spread_by`` (columns that differ between rows of one key, so a retried task picks
-    the same partition). Only the hot rows of ``right`` are repeated. ``residual`` is a
+    the same partition); only the hot rows of ``right`` are repeated. ``residual`` is a
     further condition over columns of both sides.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how} would repeat salted rows")
-    if hot is None:
-        (hot,) = find_hot_keys(left, keys)
-    if hot:
-        buckets = _partitions(left)
+    if is_small(right):
+        right = F.broadcast(right)
+    elif hot := find_hot_keys(left, keys):
+        buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         is_hot = F.xxhash64(*keys).isin(hot)
         salt = F.pmod(F.xxhash64(*spread_by), F.lit(buckets)).cast("int")
         every_salt = F.sequence(F.lit(0), F.lit(buckets - 1))

@@ -33,7 +33,7 @@ def _placeholder(spark: SparkSession) -> DataFrame:
     def missing(kind, name):
         return F.lit(None).cast(kind).alias(name)
 
-    return spark.range(1).select(
+    return spark.range(0, 1, 1, 1).select(
         F.lit(UNKNOWN_PRODUCT_ID).cast("long").alias("product_id"),
         F.lit(UNKNOWN_PRODUCT_NAME).alias("product_name"),
         F.lit(UNKNOWN_PRODUCT_CATEGORY).alias("category"),
@@ -56,7 +56,7 @@ def dim_date(
 ) -> DataFrame:
     """One row per day, both ends included."""
     days = F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 day"))
-    spine = spark.range(1).select(F.explode(days).alias("day"))
+    spine = spark.range(0, 1, 1, 1).select(F.explode(days).alias("day"))
     return spine.select(*calendar_columns(F.col("day")))
 
 

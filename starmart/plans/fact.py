@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from starmart.fixed_values import UNKNOWN_PRODUCT_ID
 from starmart.functions.money import amount_usd
 from starmart.operators.asof import join_nearest
-from starmart.operators.skew import HotKeys, broadcast_if_small, find_hot_keys, join_spread
+from starmart.operators.skew import join_spread
 from starmart.plans.dimensions import current_products
 from starmart.schemas import FACT_COLUMNS
 
@@ -37,16 +37,10 @@ def order_items_usd(
 
 
 def _lines_in_usd(
-    items: DataFrame, orders: DataFrame, rates: DataFrame, how: str, hot: HotKeys | None = None
+    items: DataFrame, orders: DataFrame, rates: DataFrame, how: str
 ) -> DataFrame:
-    dated = join_spread(
-        items,
-        orders.select("order_id", "order_date", "customer_id"),
-        ["order_id"],
-        how,
-        LINE_KEY,
-        hot,
-    )
+    placed = orders.select("order_id", "order_date", "customer_id")
+    dated = join_spread(items, placed, ["order_id"], how, LINE_KEY)
     rated = join_nearest(
         dated,
         rates,
@@ -72,11 +66,10 @@ def fact_order_items(
     The orders table is joined once, for the date and the customer together. Products
     outside the catalogue get the placeholder key and a flag.
     """
-    hot_orders, hot_products = find_hot_keys(items, ["order_id"], ["product_id"])
-    lines = _lines_in_usd(items, orders, rates, "inner", hot_orders)
+    lines = _lines_in_usd(items, orders, rates, "inner")
     known = current_products(products).select("product_id").distinct()
-    known = broadcast_if_small(known.withColumn("_known", F.lit(True)))
-    joined = join_spread(lines, known, ["product_id"], "left", LINE_KEY, hot_products)
+    known = known.withColumn("_known", F.lit(True))
+    joined = join_spread(lines, known, ["product_id"], "left", LINE_KEY)
     is_unknown = F.col("_known").isNull()
     return joined.withColumns(
         {

@@ -23,6 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items, spread over the cores if the file is too small to split."""
+    lines = table(spark, sf_dir, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() >= cores:
+        return lines
+    return lines.repartition(cores, "l_orderkey")
+
+
 def _currency(order_key: str) -> Column:
     return F.expr(
         f"case {order_key} % 10 when 5 then ' eur ' when 6 then 'EUR' when 7 then 'GBP'"
@@ -64,7 +73,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
+    lines = _lineitem(spark, sf_dir)
     return lines.select(
         line_id(lines).alias("id"),
         F.col("l_orderkey").alias("order_id"),
@@ -78,7 +87,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def redelivered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second full extract: corrected lines come again, with the second stamp."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = _lineitem(spark, sf_dir)
     corrected = (F.col("l_orderkey") % 6 == 1) & (F.col("l_linenumber") == 1)
     return lines.select(
         line_id(lines).alias("id"),
@@ -139,7 +148,7 @@ def second_raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source that versions itself: each year's highest sale price of a part is a
-    version, valid until the part's next one."""
+    version, valid until the part's next one. Landed once."""
     year = F.date_trunc("year", "l_shipdate").cast("timestamp_ntz")
     yearly = (
         table(spark, sf_dir, "lineitem")
@@ -154,9 +163,10 @@ def raw_product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(following, F.lit(OPEN_END).cast("timestamp_ntz")).alias("valid_to"),
     )
     parts = _as_raw_product(table(spark, sf_dir, "part")).drop("base_price")
-    return parts.join(versions, parts.id == versions.l_partkey).select(
+    history = parts.join(versions, parts.id == versions.l_partkey).select(
         "id", "name", "category", "description", "base_price", "currency", "valid_from", "valid_to"
     )
+    return land(history, "raw_product_history")
 
 
 def raw_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,77 @@
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+
+from starmart import schemas
+from starmart.session import local_session
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = local_session(
+        "tests",
+        "4",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
+        },
+    )
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def force_shuffle(monkeypatch, spark):
+    """Treat every table as too large for a broadcast."""
+    monkeypatch.setattr("starmart.operators.skew.BROADCAST_BYTES", 0)
+    monkeypatch.setattr("starmart.operators.asof.BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+BATCH_1, BATCH_2 = datetime(2025, 1, 1, 2), datetime(2025, 1, 2, 2)
+
+
+def raw_items(spark, rows):
+    """(id, order_id, product_id, quantity, price, currency[, loaded_at])"""
+    full = [
+        (r[0], r[1], r[2], r[3], Decimal(r[4]), r[5], r[6] if len(r) > 6 else BATCH_1)
+        for r in rows
+    ]
+    return spark.createDataFrame(full, _nullable(schemas.RAW_ORDER_ITEMS))
+
+
+def raw_orders(spark, rows):
+    """(id, customer_id, order_date)"""
+    full = [(i, c, t, Decimal("1.00"), "USD", "completed", BATCH_1) for i, c, t in rows]
+    return spark.createDataFrame(full, _nullable(schemas.RAW_ORDERS))
+
+
+def raw_rates(spark, rows):
+    """(base, quote, day, rate)"""
+    full = [(b, q, date.fromisoformat(d), Decimal(r)) for b, q, d, r in rows]
+    return spark.createDataFrame(full, _nullable(schemas.RAW_FX_RATES))
+
+
+def raw_products(spark, rows):
+    """(id, name, category, description, price, currency)"""
+    full = [(i, n, c, t, Decimal(p), y) for i, n, c, t, p, y in rows]
+    return spark.createDataFrame(full, _nullable(schemas.RAW_PRODUCTS))
+
+
+def _nullable(schema):
+    return schemas.T.StructType(
+        [schemas.T.StructField(f.name, f.dataType, True) for f in schema.fields]
+    )
+
+
+def as_rows(df, *columns):
+    return sorted(
+        (tuple(r) for r in (df.select(*columns) if columns else df).collect()),
+        key=lambda r: [(v is not None, str(v)) for v in r],
+    )
