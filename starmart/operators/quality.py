@@ -231,9 +231,10 @@ def reconcile(fact: DataFrame, reported: DataFrame) -> DataFrame:
         F.coalesce(F.sum("units_sold"), zero).alias("reported_units"),
         F.coalesce(F.sum("revenue_usd"), zero).alias("reported_revenue_usd"),
     )
-    # one row on each side
-    both = whole.join(F.broadcast(parts), F.lit(True))
-    return both.withColumn(
+    # one row each, laid over each other
+    both = whole.unionByName(parts, allowMissingColumns=True)
+    totals = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return totals.withColumn(
         "is_reconciled",
         (F.col("fact_units") == F.col("reported_units") + F.col("unknown_units"))
         & (

@@ -56,6 +56,7 @@ def join_spread(
     how: str,
     spread_by: list[str],
     residual: Column | None = None,
+    hot_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large ``left`` to a side with few rows per key.
 
@@ -63,13 +64,14 @@ def join_spread(
     hot keys go to as many partitions as the shuffle has, chosen by a hash of
     ``spread_by`` (columns that differ between rows of one key, so a retried task picks
     the same partition); only the hot rows of ``right`` are repeated. ``residual`` is a
-    further condition over columns of both sides.
+    further condition over columns of both sides. ``hot_in`` is a cheaper frame with the
+    same keys to look for hot ones in, if ``left`` is itself the result of a join.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how} would repeat salted rows")
     if is_small(right):
         right = F.broadcast(right)
-    elif hot := find_hot_keys(left, keys):
+    elif hot := find_hot_keys(left if hot_in is None else hot_in, keys):
         buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         is_hot = F.xxhash64(*keys).isin(hot)
         salt = F.pmod(F.xxhash64(*spread_by), F.lit(buckets)).cast("int")

@@ -197,7 +197,7 @@ def stg_fx_rates(spark, d):
 
 @query
 def fx_asof_interval(spark, d):
-    dated = _items(spark, d).join(_orders(spark, d).select("order_id", "order_date"), "order_id")
+    dated = fact.dated_lines(_items(spark, d), _orders(spark, d))
     rated = asof.join_nearest(
         dated,
         _rates(spark, d),
@@ -212,8 +212,8 @@ def fx_asof_interval(spark, d):
 
 @query
 def fx_asof_ranked(spark, d):
-    days = _items(spark, d).join(_orders(spark, d).select("order_id", "order_date"), "order_id")
-    needed = days.select("currency", F.col("order_date").cast("date").alias("order_day"))
+    dated = fact.dated_lines(_items(spark, d), _orders(spark, d))
+    needed = dated.select("currency", F.col("order_date").cast("date").alias("order_day"))
     ranked = asof.rank_nearest(
         needed, _rates(spark, d), "currency", "order_day", "rate_date", "rate_to_usd"
     )
@@ -470,10 +470,8 @@ def scd2_from_native(spark, d):
 @query
 def pit_product_join(spark, d):
     """Every line with the product version that was valid when it was ordered."""
-    orders = _orders(spark, d).select("order_id", "order_date")
-    lines = _items(spark, d).join(orders, "order_id").select(
-        "order_item_id", "product_id", "order_date", "unit_price"
-    )
+    dated = fact.dated_lines(_items(spark, d), _orders(spark, d))
+    lines = dated.select("order_item_id", "product_id", "order_date", "unit_price")
     attributes = {"list_price": "base_price", "version_from": "valid_from"}
     return scd2.join_valid_at(
         lines, _native_history(spark, d), "product_id", "order_date", attributes, LINE_KEY

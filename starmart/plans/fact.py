@@ -29,6 +29,12 @@ USD_COLUMNS = (
 )
 
 
+def dated_lines(items: DataFrame, orders: DataFrame, how: str = "inner") -> DataFrame:
+    """Lines with date and customer of their order; an order may own any share of them."""
+    placed = orders.select("order_id", "order_date", "customer_id")
+    return join_spread(items, placed, ["order_id"], how, LINE_KEY)
+
+
 def order_items_usd(
     items: DataFrame, orders: DataFrame, rates: DataFrame, how: str = "left"
 ) -> DataFrame:
@@ -39,10 +45,8 @@ def order_items_usd(
 def _lines_in_usd(
     items: DataFrame, orders: DataFrame, rates: DataFrame, how: str
 ) -> DataFrame:
-    placed = orders.select("order_id", "order_date", "customer_id")
-    dated = join_spread(items, placed, ["order_id"], how, LINE_KEY)
     rated = join_nearest(
-        dated,
+        dated_lines(items, orders, how),
         rates,
         key="currency",
         line_day=F.col("order_date").cast("date"),
@@ -69,7 +73,7 @@ def fact_order_items(
     lines = _lines_in_usd(items, orders, rates, "inner")
     known = current_products(products).select("product_id").distinct()
     known = known.withColumn("_known", F.lit(True))
-    joined = join_spread(lines, known, ["product_id"], "left", LINE_KEY)
+    joined = join_spread(lines, known, ["product_id"], "left", LINE_KEY, hot_in=items)
     is_unknown = F.col("_known").isNull()
     return joined.withColumns(
         {

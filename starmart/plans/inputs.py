@@ -19,8 +19,25 @@ SECOND_EXTRACT_AT = datetime(2001, 7, 1)
 OPEN_END = datetime(9999, 12, 31)
 
 
+TABLES = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz"
+    ),
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The columns in use, with declared types (no inference pass over the files)."""
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.fixed_values import BATCH_1_LOADED_AT, BATCH_2_LOADED_AT
+from starmart.operators.skew import join_spread
 
 
 def stamp_loaded_at(
@@ -26,5 +27,6 @@ def first_batch(orders: DataFrame, items: DataFrame, cutoff: int) -> tuple[DataF
     keys = early.select(F.col("id").alias("order_id"))
     # the same bound on the line side is implied by the join; stating it lets the
     # line scan skip row groups before the shuffle
-    lines = items.filter(F.col("order_id") <= cutoff).join(keys, "order_id", "left_semi")
+    lines = items.filter(F.col("order_id") <= cutoff)
+    lines = join_spread(lines, keys, ["order_id"], "left_semi", ["id"])
     return early, lines.select(*items.columns)

@@ -6,12 +6,16 @@ of any executor, and gives Catalyst a measured size.
 """
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 2_000_000
+ROWS_PER_FILE = 10_000_000
+MAX_TASKS = 20_000
 
 _local_work_dir: str | None = None
 
@@ -33,11 +37,27 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def land(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once below the work folder and return the written table."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
+    """Write ``df`` once below the work folder and return the written table.
+
+    The table stays, because the caller's result still reads it; the shared folder's
+    retention removes it.
+    """
+    return _write_and_read(df, new_path(df.sparkSession, name))
+
+
+@contextmanager
+def landed(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A written table for the length of one job."""
+    path = new_path(df.sparkSession, name)
+    try:
+        yield _write_and_read(df, path)
+    finally:
+        _delete(df.sparkSession, path)
+
+
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_clustered(
@@ -53,18 +73,20 @@ def write_clustered(
     The shuffle is by range over partition, cluster columns and the unique ``spread_by``,
     so a day that holds a third of all rows becomes many tasks and files, and every file
     covers a narrow product range that row-group statistics can skip. The number of
-    tasks follows from the number of rows, so a small delta does not make small files.
+    tasks follows from the number of rows, so a small delta does not make small files
+    and a large backfill does not make more shuffle blocks than a driver can track.
     """
     size = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(partition_by).alias("dirs"))
     rows, dirs = size.first()
     parallel = df.sparkSession.sparkContext.defaultParallelism
-    tasks = max(-(-rows // ROWS_PER_TASK), min(parallel, dirs), 1)
+    tasks = min(max(-(-rows // ROWS_PER_TASK), min(parallel, dirs), 1), MAX_TASKS)
     order = [partition_by, *cluster_by, spread_by]
     (
         df.repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(partition_by)
         .parquet(path)
     )
@@ -83,5 +105,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
     """Remove one partition directory (a dynamic overwrite cannot write an empty one)."""
     name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-    files, hadoop_path = _file_system(spark, f"{path}/{column}={name}")
+    _delete(spark, f"{path}/{column}={name}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, hadoop_path = _file_system(spark, path)
     files.delete(hadoop_path, True)
