@@ -1,5 +1,6 @@
 """Calendar and time-of-day attributes."""
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column
@@ -8,6 +9,13 @@ from pyspark.sql import functions as F
 from starmart.fixed_values import DAY_PARTS
 
 
+def local_time(value: datetime | None) -> Column:
+    """A time without zone as a literal. A plain ``lit`` of a Python time would have a
+    zone, and shift with the session's."""
+    text = None if value is None else value.isoformat(sep=" ")
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def calendar_columns(day: Column) -> list[Column]:
     sunday_is_0 = F.dayofweek(day) - 1
     return [

@@ -3,9 +3,10 @@
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.functions.calendar import local_time
 from starmart.operators.skew import join_spread
 
 # A difference in one of these opens a new product version.
@@ -39,7 +40,7 @@ def snapshot(
         F.lit(False),
     )
     known, seen = F.col("old").isNotNull(), F.col("new").isNotNull()
-    closed = F.col("old").withField("valid_to", F.lit(run_at).cast("timestamp_ntz"))
+    closed = F.col("old").withField("valid_to", local_time(run_at))
     kept = F.when(known & seen & differs, closed).when(known, F.col("old"))
     opened = F.when(seen & (~known | differs), F.col("new"))
     versions = (
@@ -53,7 +54,7 @@ def snapshot(
 
 def from_native_history(staged: DataFrame, open_end: datetime) -> DataFrame:
     """Use the source's own validity; its open-end marker becomes NULL."""
-    marker = F.lit(open_end).cast("timestamp_ntz")
+    marker = local_time(open_end)
     return staged.withColumn(
         "valid_to", F.when(F.col("valid_to") < marker, F.col("valid_to"))
     )
@@ -67,23 +68,22 @@ def join_valid_at(
     attributes: dict[str, str],
     spread_by: list[str],
     grain: str = "month",
+    dates_in: DataFrame | None = None,
 ) -> DataFrame:
     """Add the attributes of the version valid at ``at`` (``valid_from <= at < valid_to``).
 
     Lines and versions meet on key and period, not on key alone, so a line is compared
     only with the versions of its own month; a finer ``grain`` suits keys that change
     many times a month. Versions of one key do not overlap, so a line matches at most
-    once. Lines without a version get NULLs.
+    once. Lines without a version get NULLs. ``dates_in`` is a cheaper frame that covers
+    the dates of the lines, if those come from a join.
     """
-    span = lines.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
-    first, last = (F.lit(t).cast("timestamp_ntz") for t in (span.first, span.last))
+    span = (lines if dates_in is None else dates_in).agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
+    first, last = local_time(span.first), local_time(span.last)
     start = F.greatest("valid_from", first)
     stop = F.least("valid_to", last)
-    periods = F.sequence(
-        F.date_trunc(grain, start).cast("date"),
-        F.date_trunc(grain, stop).cast("date"),
-        F.expr(f"interval 1 {grain}"),
-    )
+    step = F.expr(f"interval 1 {grain}")
+    periods = F.sequence(_period(start, grain), _period(stop, grain), step)
     by_period = versions.filter(start <= stop).select(
         key,
         F.explode(periods).alias("_period"),
@@ -91,7 +91,7 @@ def join_valid_at(
         F.col("valid_to").alias("_to"),
         *[F.col(column).alias(name) for name, column in attributes.items()],
     )
-    dated = lines.withColumn("_period", F.date_trunc(grain, at).cast("date"))
+    dated = lines.withColumn("_period", _period(F.col(at), grain))
     is_valid = (F.col("_from") <= F.col(at)) & (
         F.col("_to").isNull() | (F.col(at) < F.col("_to"))
     )
@@ -101,10 +101,15 @@ def join_valid_at(
     return joined.select(*lines.columns, *attributes)
 
 
+def _period(at: Column, grain: str) -> Column:
+    day = at.cast("date")
+    return day if grain == "day" else F.trunc(day, grain)
+
+
 def _opened(extract: DataFrame, run_at: datetime) -> DataFrame:
     return extract.withColumns(
         {
-            "valid_from": F.lit(run_at).cast("timestamp_ntz"),
+            "valid_from": local_time(run_at),
             "valid_to": F.lit(None).cast("timestamp_ntz"),
         }
     )

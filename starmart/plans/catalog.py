@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from starmart import schemas
 from starmart.fixed_values import UNKNOWN_PRODUCT_ID
+from starmart.functions.calendar import local_time
 from starmart.operators import asof, ordering, quality, scd2, staging, upsert
 from starmart.operators.latest import latest_by_key
 from starmart.plans import dimensions, fact, inputs, reports
@@ -86,7 +87,7 @@ def _landed_fact(spark, d):
 
 def _first_load(spark, d):
     """Fact lines of the first batch."""
-    early = _items(spark, d).filter(F.col("_loaded_at") == F.lit(inputs.BATCH_1_LOADED_AT))
+    early = _items(spark, d).filter(F.col("_loaded_at") == local_time(inputs.BATCH_1_LOADED_AT))
     return _fact(spark, d, early)
 
 
@@ -425,7 +426,7 @@ def fact_merge(spark, d):
 def schema_sync(spark, d):
     """First-batch lines without an amount column, given the later columns."""
     items = _items(spark, d)
-    mark = F.lit(inputs.BATCH_1_LOADED_AT)
+    mark = local_time(inputs.BATCH_1_LOADED_AT)
     old = items.filter(F.col("_loaded_at") == mark).drop("line_amount_native")
     old = old.withColumn("legacy_code", F.col("currency"))
     new = items.filter(F.col("_loaded_at") > mark)
@@ -470,11 +471,16 @@ def scd2_from_native(spark, d):
 @query
 def pit_product_join(spark, d):
     """Every line with the product version that was valid when it was ordered."""
-    dated = fact.dated_lines(_items(spark, d), _orders(spark, d))
-    lines = dated.select("order_item_id", "product_id", "order_date", "unit_price")
-    attributes = {"list_price": "base_price", "version_from": "valid_from"}
+    orders = _orders(spark, d)
+    dated = fact.dated_lines(_items(spark, d), orders)
     return scd2.join_valid_at(
-        lines, _native_history(spark, d), "product_id", "order_date", attributes, LINE_KEY
+        dated.select("order_item_id", "product_id", "order_date", "unit_price"),
+        _native_history(spark, d),
+        key="product_id",
+        at="order_date",
+        attributes={"list_price": "base_price", "version_from": "valid_from"},
+        spread_by=LINE_KEY,
+        dates_in=orders,
     )
 
 
@@ -549,10 +555,10 @@ def stream_fact_upsert(spark, d):
     """Two landings of raw lines streamed into the fact; the second corrects some."""
     landed, path = new_path(spark, "raw_items"), new_path(spark, "fact_stream")
     first = inputs.raw_order_items(spark, d).filter(
-        F.col("_loaded_at") == F.lit(inputs.BATCH_1_LOADED_AT)
+        F.col("_loaded_at") == local_time(inputs.BATCH_1_LOADED_AT)
     )
     second = inputs.redelivered_items(spark, d).filter(
-        F.col("_loaded_at") > F.lit(inputs.BATCH_1_LOADED_AT)
+        F.col("_loaded_at") > local_time(inputs.BATCH_1_LOADED_AT)
     )
     orders, rates, products = _orders(spark, d), _rates(spark, d), _products(spark, d)
     checkpoint = new_path(spark, "fact_stream_state")

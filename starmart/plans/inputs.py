@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starmart.fixed_values import BATCH_1_LOADED_AT, BATCH_2_LOADED_AT
+from starmart.functions.calendar import local_time
 from starmart.schemas import PRICE, RATE
 from starmart.storage import land
 
@@ -57,8 +58,9 @@ def _currency(order_key: str) -> Column:
 
 
 def _loaded_at(in_second: Column) -> Column:
-    stamp = F.when(in_second, F.lit(BATCH_2_LOADED_AT)).otherwise(F.lit(BATCH_1_LOADED_AT))
-    return stamp.cast("timestamp_ntz")
+    return F.when(in_second, local_time(BATCH_2_LOADED_AT)).otherwise(
+        local_time(BATCH_1_LOADED_AT)
+    )
 
 
 def line_id(lines: DataFrame) -> Column:
@@ -166,7 +168,7 @@ def second_raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source that versions itself: each year's highest sale price of a part is a
     version, valid until the part's next one. Landed once."""
-    year = F.date_trunc("year", "l_shipdate").cast("timestamp_ntz")
+    year = F.trunc(F.col("l_shipdate").cast("date"), "year").cast("timestamp_ntz")
     yearly = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_partkey", year.alias("valid_from"))
@@ -177,7 +179,7 @@ def raw_product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey",
         "base_price",
         "valid_from",
-        F.coalesce(following, F.lit(OPEN_END).cast("timestamp_ntz")).alias("valid_to"),
+        F.coalesce(following, local_time(OPEN_END)).alias("valid_to"),
     )
     parts = _as_raw_product(table(spark, sf_dir, "part")).drop("base_price")
     history = parts.join(versions, parts.id == versions.l_partkey).select(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.fixed_values import BATCH_1_LOADED_AT, BATCH_2_LOADED_AT
+from starmart.functions.calendar import local_time
 from starmart.operators.skew import join_spread
 
 
@@ -17,8 +18,8 @@ def stamp_loaded_at(
     second: datetime = BATCH_2_LOADED_AT,
 ) -> DataFrame:
     """Add ``_loaded_at``. Both times are inputs: a rerun must stamp the same."""
-    stamp = F.when(F.col(order_id) <= cutoff, F.lit(first)).otherwise(F.lit(second))
-    return df.withColumn("_loaded_at", stamp.cast("timestamp_ntz"))
+    stamp = F.when(F.col(order_id) <= cutoff, local_time(first)).otherwise(local_time(second))
+    return df.withColumn("_loaded_at", stamp)
 
 
 def first_batch(orders: DataFrame, items: DataFrame, cutoff: int) -> tuple[DataFrame, DataFrame]:

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from starmart.operators import staging
+from starmart.operators import staging, upsert
 from starmart.operators.quality import (
     DataTest,
     exception_rate_by_day,
@@ -16,7 +16,8 @@ from starmart.operators.scd2 import first_snapshot, snapshot
 from starmart.plans import dimensions, reports
 from starmart.plans.fact import fact_order_items, order_items_usd
 from starmart.schemas import FACT_COLUMNS
-from tests.conftest import as_rows, raw_items, raw_orders, raw_products, raw_rates
+from starmart.sources import landing
+from tests.conftest import BATCH_1, as_rows, raw_items, raw_orders, raw_products, raw_rates
 
 NOON = datetime(2024, 7, 1, 12, 30)
 RATES = [
@@ -173,6 +174,22 @@ def test_calendar(spark):
     assert days[date(2024, 12, 31)].month_name == "December"
 
 
+def test_times_do_not_depend_on_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        items = staging.stg_order_items(raw_items(spark, ITEMS))
+        mark = upsert.high_water_mark(items).first()[0]
+        assert mark == BATCH_1
+        assert upsert.newer_than(items, mark).count() == 0
+        assert upsert.high_water_mark(items.filter("false")).first()[0] == datetime(1900, 1, 1)
+        staged = staging.stg_products(raw_products(spark, PRODUCTS))
+        assert first_snapshot(staged, NOON).first().valid_from == NOON
+        stamped = landing.stamp_loaded_at(raw_orders(spark, ORDERS).drop("_loaded_at"), "id", 9)
+        assert stamped.first()._loaded_at == BATCH_1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_day_parts(spark):
     rows = as_rows(dimensions.dim_time_of_day(spark), "hour_of_day", "day_part", "day_part_sort")
     by_hour = {h: (p, s) for h, p, s in rows}
