@@ -75,14 +75,15 @@ def _products(spark, d):
     return dimensions.dim_products(scd2.first_snapshot(staged, inputs.FIRST_EXTRACT_AT))
 
 
-def _fact(spark, d, items=None):
+def _fact(spark, d, items=None, rates=None):
     items = _items(spark, d) if items is None else items
-    return fact.fact_order_items(items, _orders(spark, d), _rates(spark, d), _products(spark, d))
+    rates = _rates(spark, d) if rates is None else rates
+    return fact.fact_order_items(items, _orders(spark, d), rates, _products(spark, d))
 
 
-def _landed_fact(spark, d):
+def _landed_fact(spark, d, rates=None):
     """The fact as a written mart, for queries that read it more than once."""
-    return land(_fact(spark, d), "fact_order_items")
+    return land(_fact(spark, d, rates=rates), "fact_order_items")
 
 
 def _first_load(spark, d):
@@ -492,18 +493,19 @@ def dq_tests(spark, d):
     orders = _orders(spark, d)
     span = orders.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last")).first()
     customers = staging.stg_customers(inputs.raw_customers(spark, d))
+    rates = _rates(spark, d)
     return quality.run_tests(
         {
             "stg_customers": customers,
             "stg_orders": orders,
             "stg_order_items": _items(spark, d),
             "stg_products": staging.stg_products(inputs.raw_products(spark, d)),
-            "stg_fx_rates": _rates(spark, d),
+            "stg_fx_rates": rates,
             "dim_customers": dimensions.dim_customers(customers),
             "dim_products": _products(spark, d),
             "dim_date": dimensions.dim_date(spark, span.first.date(), span.last.date()),
             "dim_time_of_day": dimensions.dim_time_of_day(spark),
-            "fact_order_items": _landed_fact(spark, d),
+            "fact_order_items": _landed_fact(spark, d, rates),
         }
     )
 
