@@ -61,9 +61,9 @@ def join_spread(
     """Join a large ``left`` to a side with few rows per key.
 
     A provably small ``right`` is broadcast: no shuffle, so no skew. Otherwise rows of
-    hot keys go to as many partitions as the shuffle has, chosen by a hash of
+    hot keys are cut into as many parts as the shuffle has partitions, by a hash of
     ``spread_by`` (columns that differ between rows of one key, so a retried task picks
-    the same partition); only the hot rows of ``right`` are repeated. ``residual`` is a
+    the same part); parts are hashed to partitions, a few of which get several. Only the hot rows of ``right`` are repeated. ``residual`` is a
     further condition over columns of both sides. ``hot_in`` is a cheaper frame with the
     same keys to look for hot ones in, if ``left`` is itself the result of a join.
     """
