@@ -5,6 +5,8 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from starmart.plans.catalog import QUERIES
+from starmart.plans.oracle import ORACLE_SQL
 from tests.sql_compare import connect, difference
 
 FOLDER = os.environ.get("STARMART_TABLES", "/root/testdata/sf0.001")
@@ -17,7 +19,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert difference(con, oracle_sql()[name], queries()[name](spark, FOLDER)) is None
 
@@ -31,7 +33,12 @@ def test_query_equals_sql_without_broadcast(spark, con, name, force_shuffle):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+
+
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLE_SQL) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
