@@ -19,6 +19,7 @@ Defined results
 """
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -31,22 +32,39 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starmart.llm.common import land
+from starmart.llm.word_bpe import merges_like, plain
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 150_000  # per generation and worker
-
-_LOT_BYTES = 1 << 21  # texts split into words at once
+CACHED_WORDS = 250_000  # per generation and worker
 
 
 # --- tokens -------------------------------------------------------------------------
 
 
+class WordIds(dict):
+    """Ids of words, as bytes; a word that is missing is looked up or encoded, then kept.
+
+    Two generations of at most ``CACHED_WORDS`` words bound the memory: words in use move on.
+    """
+
+    def __init__(self, encode, ends: bytes, older: dict):
+        self.encode, self.ends, self.older = encode, ends, older
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            # a mark after a letter or digit is a token of its own, so the stem is looked up alone
+            if word[-1] in self.ends and word[-2:-1].isalnum():
+                return self[word[:-1]] + self[word[-1:]]
+            ids = struct.pack(f"<{len(found := self.encode(word))}I", *found)
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Token ids of texts by a tokenizer that never joins tokens across ASCII space.
 
-    The ids of a word are looked up; unknown words go to the tokenizer in one batch. Two
-    generations of at most ``CACHED_WORDS`` words bound the memory: words in use move on.
     Case A-Z is folded first if the tokenizer folds it anyway.
     """
 
@@ -54,42 +72,26 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark owns the cores
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        tokenizer = Tokenizer.from_file(path)
+        self._ids = lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         self.folds = self._ids("Aa") == self._ids("aa")
-        self.ends = [mark for mark in b".,;:!?" if self._ids(f"a{chr(mark)}") == self._ids("a") + self._ids(chr(mark))]
-        self.young, self.old = {}, {}
-
-    def _ids(self, text):
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.young) > CACHED_WORDS:
-            self.young, self.old = {}, self.young
-        unknown = set()
-        for word in words:
-            if (known := self.old.get(word)) is not None:
-                self.young[word] = known
-            else:
-                unknown.add(word)
-        # a mark after a letter or digit is a token of its own, so the stem is looked up alone
-        stems = {w: w[:-1] for w in unknown if len(w) > 1 and w[-1] in self.ends and chr(w[-2]).isalnum() and w[-2] < 128}
-        bare = [w for w in unknown if w not in stems]
-        bare += [s for s in {*stems.values()} - {*bare} if s not in self.young]
-        marks = [bytes([m]) for m in self.ends if bytes([m]) not in self.young]
-        bare += [m for m in marks if m not in bare]
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in bare], add_special_tokens=False)
-        for word, encoding in zip(bare, found):
-            self.young[word] = np.array(encoding.ids, "<u4").tobytes()
-        for word, stem in stems.items():
-            self.young[word] = self.young[stem] + self.young[word[-1:]]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        words = [(t.lower() if self.folds else t).split() for t in texts]
-        if unknown := set().union(*words) - self.young.keys():
-            self._learn(unknown)
-        ids = self.young.__getitem__
-        return [b"".join(map(ids, w)) for w in words]
+        self.ends = bytes(m for m in b".,;:!?" if self._ids(f"a{chr(m)}") == self._ids("a") + self._ids(chr(m)))
+        merges = merges_like(path, self._ids)
+
+        def encode_word(word):
+            if merges and (simple := plain(word)):
+                return merges.encode(simple)
+            return self._ids(word.decode())
+
+        self._encode_word = encode_word
+        self.words = WordIds(encode_word, self.ends, {})
+
+    def encode(self, text: bytes) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers."""
+        if len(self.words) > CACHED_WORDS:
+            self.words.older = {}
+            self.words = WordIds(self._encode_word, self.ends, self.words)
+        return b"".join(map(self.words.__getitem__, (text.lower() if self.folds else text).split()))
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -102,19 +104,6 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def _lots(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
-    ids, texts, size = [], [], 0
-    for doc, text in zip(batch.column(0), batch.column(1)):
-        ids.append(doc.as_py())
-        texts.append(text.as_py() or b"")
-        size += len(texts[-1])
-        if size >= _LOT_BYTES:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
-
-
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, place bigint"
 
 
@@ -122,16 +111,16 @@ def _pieces(batches, path, capacity, end_id, with_ids):
     encode, part = encoder(path).encode, TaskContext.get().partitionId()
     end, seen = np.array([end_id], "<u4").tobytes(), np.zeros(capacity + 1, np.int64)
     for batch in batches:
-        for docs, texts in _lots(batch):
-            rows = []
-            for doc, ids in zip(docs, encode(texts)):
-                ids += end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    some = ids[at : at + 4 * capacity]
-                    length = len(some) // 4
-                    row = (doc, piece, at // 4, length, zlib.crc32(some), part, int(seen[length]))
-                    rows.append((*row, some) if with_ids else row)
-                    seen[length] += 1
+        rows = []
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids = encode(text.as_py() or b"") + end
+            for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                some = ids[at : at + 4 * capacity]
+                length = len(some) // 4
+                row = (doc, piece, at // 4, length, zlib.crc32(some), part, int(seen[length]))
+                rows.append((*row, some) if with_ids else row)
+                seen[length] += 1
+        if rows:
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "place", "ids"]
             columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)]
