@@ -306,7 +306,7 @@ def _open_segments(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
                     place = (s["doc"], r[ROW_ID], s["start"] + j)
                     if window in first:  # the later one is known to go: sent without its bytes
                         place, first[window] = max(place, first[window]), min(place, first[window])
-                        out.append((0, *place, None))
+                        out.append((_digest(b"%d %d" % place[1:]), *place, None))
                     else:
                         first[window] = place
         out += [(_digest(window), *place, window) for window, place in first.items()]
