@@ -1,0 +1,40 @@
+"""The queries against their SQL, and the pipeline against its stages."""
+
+import os
+
+import pytest
+
+import corpus_pipeline
+from starmart.llm import exact_dedup, quality_rules, simhash
+from starmart.llm.common import land
+from starmart.llm.queries import ORACLE_SQL, QUERIES
+from tests.sql_compare import connect, difference
+
+FOLDER = os.environ.get("STARMART_TABLES", "/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_equals_sql(spark, name):
+    assert difference(connect(FOLDER), ORACLE_SQL[name], QUERIES[name](spark, FOLDER)) is None
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    names = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, land(stage(spark, docs, FOLDER), "stage")
+        assert docs.columns == names and [t for _, t in docs.dtypes] == [t for _, t in before.dtypes]
+        kept = {r.doc_id for r in docs.collect()}
+        if name == "quality rules":
+            want = quality_rules.verdicts(quality_rules.measure(before)).filter("kept")
+        elif name == "exact dedup":
+            want = exact_dedup.new_index(spark).add_batch(before).filter("kept")
+        elif name == "simhash near-dedup":
+            want = simhash.near_duplicates(before).filter("kept")
+        else:
+            want = before
+        assert kept == {r.doc_id for r in want.select("doc_id").collect()}
+    pieces = corpus_pipeline.run(spark, FOLDER).collect()
+    assert {r.doc_id for r in pieces} == kept
