@@ -200,17 +200,23 @@ def _bits_key(path: Column, masks: dict[int, int]) -> Column:
     return F.col("print").bitwiseAND(chosen)
 
 
+def _flipped(g: int, own: Column):
+    return lambda flip: F.struct(F.lit(g).alias("g"), own.bitwiseXOR(flip).alias("v"))
+
+
 def _signatures(prints: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame:
     """(key, path, print): every fingerprint under its own and all probed values of each group.
 
     The path is the number of the group."""
     keys = []
     for g, (bits, most) in enumerate(plan):
+        flips = [_signed(_mask(list(f))) for t in range(most + 1) for f in combinations(bits, t)]
+        if not flips:
+            continue
         own = F.col("print").bitwiseAND(F.lit(_signed(_mask(bits))))
-        flips = [_mask(list(f)) for t in range(most + 1) for f in combinations(bits, t)]
-        for f in flips:
-            keys.append(F.struct(F.lit(g).alias("g"), own.bitwiseXOR(F.lit(_signed(f))).alias("v")))
-    named = prints.select("print", F.explode(F.array(*keys)).alias("s"))
+        table = F.array(*[F.lit(f).cast("long") for f in flips])
+        keys.append(F.transform(table, _flipped(g, own)))
+    named = prints.select("print", F.explode(F.concat(*keys)).alias("s"))
     return named.select(F.xxhash64("s.g", "s.v").alias("key"), F.col("s.g").alias("path"), "print")
 
 
