@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from starmart.operators.skew import join_spread
 from starmart.storage import land
 
-# a plain window without partitions is allowed up to this proven number of rows
-SINGLE_TASK_ROWS = 1_000_000
-
 _POSITION_BITS = 33
 
 
@@ -72,20 +69,8 @@ def global_rank(df: DataFrame, value: str, rank_name: str, spread_by: list[str])
     return ranked.select(*df.columns, rank_name)
 
 
-def rank_all(
-    df: DataFrame, ranks: dict[str, str], max_rows: int, spread_by: list[str]
-) -> DataFrame:
-    """Add one descending rank per entry of ``ranks`` ({rank name: value column}).
-
-    ``max_rows`` is an upper bound the caller has measured.
-    """
-    if max_rows <= SINGLE_TASK_ROWS:
-        return df.withColumns(
-            {
-                name: F.rank().over(W.orderBy(F.col(value).desc_nulls_last())).cast("long")
-                for name, value in ranks.items()
-            }
-        )
+def rank_all(df: DataFrame, ranks: dict[str, str], spread_by: list[str]) -> DataFrame:
+    """Add one descending rank per entry of ``ranks`` ({rank name: value column})."""
     ranked = land(df, "to_rank")
     for name, value in ranks.items():
         ranked = global_rank(ranked, value, name, spread_by)

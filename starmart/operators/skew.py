@@ -6,8 +6,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
-TRACKED_KEYS = 10_000
+SKETCH_LIMIT = 1_000_000  # most keys that Spark's sketch can track
 BROADCAST_BYTES = 128 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 32
 
@@ -17,16 +16,18 @@ def find_hot_keys(df: DataFrame, keys: list[str]) -> list[int]:
     """Hashes of the keys that would overfill a shuffle partition.
 
     One pass over the key columns with a bounded sketch, merged map-side. A key counts
-    as hot from half an average partition on, so there are at most a thousand. The
-    sketch only steers the layout; the join is exact whatever it returns.
+    as hot from half an average partition on, so there are at most two per partition. The
+    sketch tracks ten times as many. It only steers the layout; the join is exact whatever it
+    returns.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(HOT_SHARE, 0.5 / partitions)
+    share = 0.5 / partitions
+    tracked = min(max(10_000, 20 * partitions), SKETCH_LIMIT)
     row = (
         df.select(F.xxhash64(*keys).alias("key"))
         .agg(
             F.count(F.lit(1)).alias("rows"),
-            F.expr(f"approx_top_k(key, {int(1 / share)}, {TRACKED_KEYS})").alias("top"),
+            F.expr(f"approx_top_k(key, {min(2 * partitions, tracked)}, {tracked})").alias("top"),
         )
         .first()
     )

@@ -5,7 +5,6 @@ named by ``spark.checkpoint.dir``. A written table cuts the lineage, survives th
 of any executor, and gives Catalyst a measured size.
 """
 
-import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from uuid import uuid4
@@ -15,21 +14,17 @@ from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 2_000_000
 ROWS_PER_FILE = 10_000_000
-MAX_TASKS = 20_000
-
-_local_work_dir: str | None = None
 
 
 def work_dir(spark: SparkSession) -> str:
-    global _local_work_dir
+    """The shared folder. Only a local session may leave it unset; it then works beside its
+    warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_work_dir is None:
-        _local_work_dir = tempfile.mkdtemp(prefix="starmart-")
-    return _local_work_dir
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -74,12 +69,12 @@ def write_clustered(
     so a day that holds a third of all rows becomes many tasks and files, and every file
     covers a narrow product range that row-group statistics can skip. The number of
     tasks follows from the number of rows, so a small delta does not make small files
-    and a large backfill does not make more shuffle blocks than a driver can track.
+    and a large backfill does not make large tasks.
     """
     size = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(partition_by).alias("dirs"))
     rows, dirs = size.first()
     parallel = df.sparkSession.sparkContext.defaultParallelism
-    tasks = min(max(-(-rows // ROWS_PER_TASK), min(parallel, dirs), 1), MAX_TASKS)
+    tasks = max(-(-rows // ROWS_PER_TASK), min(parallel, dirs), 1)
     order = [partition_by, *cluster_by, spread_by]
     (
         df.repartitionByRange(tasks, *order)
