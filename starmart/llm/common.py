@@ -1,6 +1,10 @@
 """Helpers shared by the operators of this subpackage."""
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from functools import cache
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -9,7 +13,7 @@ from pyspark.sql import functions as F
 
 from starmart.storage import land
 
-__all__ = ["ROW_ID", "is_held_out", "land", "partitions", "read", "row_ids", "text_or_empty", "with_row_id"]
+__all__ = ["ROW_ID", "is_held_out", "land", "partitions", "read", "row_ids", "ship", "text_or_empty", "with_row_id"]
 
 ROW_ID = "__row_id"
 
@@ -20,6 +24,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, as ``--py-files`` does, once per application."""
+    _shipped(spark.sparkContext.applicationId, spark.sparkContext)
+
+
+@cache
+def _shipped(application: str, context) -> None:
+    package = Path(__file__).parents[1]
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"  # the driver's; Spark serves it
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -1,5 +1,7 @@
 """The named queries of this subpackage, each over whole tables."""
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from starmart.llm import (
     suffix_dedup,
     warc,
 )
-from starmart.llm.common import read
+from starmart.llm.common import read, ship
 from starmart.llm.oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -99,8 +101,17 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+def _shipped(query):
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
-    f.__name__: f
+    f.__name__: _shipped(f)
     for f in (
         op1_chat_formatting,
         op2_lm_scoring,
