@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from starmart.operators import staging
 from starmart.operators.quality import exceptions, raise_on_failure, run_tests
 from starmart.operators.scd2 import first_snapshot, snapshot
-from starmart.operators.upsert import high_water_mark, newer_than, upsert_partitions
+from starmart.operators.upsert import finish_load, high_water_mark, newer_than, upsert_partitions
 from starmart.plans import dimensions, reports
 from starmart.plans.fact import fact_order_items
 from starmart.schemas import AMOUNT, AMOUNT_USD, PRICE, RATE
@@ -91,12 +91,13 @@ def load_fact(
     products: DataFrame,
     since: datetime | None = None,
 ) -> None:
-    """Upsert the lines loaded after the target's newest stamp.
+    """Upsert the lines loaded after the target's newest stamp, or after ``since``.
 
-    A load that broke off half-way may already have moved that stamp: repeat it with
-    ``since`` set to the mark it started from.
+    A load that broke off half-way is finished before the stamp is read, so the stamp
+    never stands for lines that are not there.
     """
     path = wh.path("marts", "fact_order_items")
+    finish_load(wh.spark, path)
     if path_exists(wh.spark, path):
         mark = since or high_water_mark(wh.fact()).first()[0]
         items = newer_than(items, mark)

@@ -47,7 +47,7 @@ def landed(df: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield _write_and_read(df, path)
     finally:
-        _delete(df.sparkSession, path)
+        delete(df.sparkSession, path)
 
 
 def _write_and_read(df: DataFrame, path: str) -> DataFrame:
@@ -100,9 +100,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
     """Remove one partition directory (a dynamic overwrite cannot write an empty one)."""
     name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-    _delete(spark, f"{path}/{column}={name}")
+    delete(spark, f"{path}/{column}={name}")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def create_marker(spark: SparkSession, path: str) -> None:
+    """An empty file; it is there or not, never in part."""
+    files, hadoop_path = _file_system(spark, path)
+    files.create(hadoop_path, True).close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
     files, hadoop_path = _file_system(spark, path)
     files.delete(hadoop_path, True)

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from starmart.operators.latest import latest_by_key
 from starmart.operators.staging import stg_order_items
 from starmart.plans.fact import fact_order_items
+from starmart.storage import delete, landed, path_exists
 
 
 def start_fact_upserts(
@@ -21,16 +22,31 @@ def start_fact_upserts(
     """Process everything that has landed, then stop.
 
     The source offsets in the checkpoint take the place of the load mark, so lines that
-    arrive late with an old stamp are not missed. A replayed micro-batch replaces the
-    same keys by the same rows. ``load`` writes one delta, normally with
-    ``upsert_partitions``.
+    arrive late with an old stamp are not missed. ``load`` writes one delta, normally with
+    ``upsert_partitions``, where the newest stamp wins.
+
+    Lines whose order has not landed wait in a folder beside the checkpoint and are tried
+    again with each later batch. A batch reads what the batch before left and writes
+    its own folder, so a replay does the same again. A run without new lines has no batch
+    and tries none.
     """
 
-    def upsert(batch: DataFrame, _batch_id: int) -> None:
+    def waiting_after(batch_id: int) -> str:
+        return f"{checkpoint.rstrip('/')}-waiting/{batch_id}"
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         lines = stg_order_items(batch)
+        if path_exists(spark, waiting_after(batch_id - 1)):
+            earlier = spark.read.schema(lines.schema).parquet(waiting_after(batch_id - 1))
+            lines = lines.unionByName(earlier)
         others = [c for c in lines.columns if c not in ("order_item_id", "_loaded_at")]
         newest = latest_by_key(lines, "order_item_id", ["_loaded_at", *others])
-        load(fact_order_items(newest, orders, rates, products))
+        with landed(newest, "lines") as newest:
+            early = newest.join(orders.select("order_id"), "order_id", "left_anti")
+            early.select(*newest.columns).write.mode("overwrite").parquet(waiting_after(batch_id))
+            load(fact_order_items(newest, orders, rates, products))
+        delete(spark, waiting_after(batch_id - 2))
 
     return (
         raw_items.writeStream.foreachBatch(upsert)

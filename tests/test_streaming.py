@@ -41,6 +41,31 @@ def test_stream_equals_batch(spark, tmp_path):
     assert as_rows(spark.read.parquet(path), *expected.columns) == as_rows(expected)
 
 
+def test_late_rows_and_late_orders(spark, tmp_path):
+    rates = staging.stg_fx_rates(raw_rates(spark, [("USD", "USD", "2024-01-01", "1")]))
+    staged = staging.stg_products(raw_products(spark, [(1, "a", "c", None, "1.00", "USD")]))
+    products = dim_products(first_snapshot(staged, BATCH_1))
+    landed, path, state = (str(tmp_path / n) for n in ("raw", "fact", "state"))
+    steps = [  # (lines, orders landed by then)
+        ([(1, 1, 1, 5, "1.00", "USD", BATCH_2), (2, 2, 1, 1, "1.00", "USD", BATCH_2)], 1),
+        # an older version of line 1 in a later batch; order 2 still missing
+        ([(1, 1, 1, 4, "1.00", "USD", BATCH_1), (3, 3, 1, 1, "1.00", "USD", BATCH_2)], 1),
+        ([(4, 1, 1, 1, "1.00", "USD", BATCH_2)], 3),
+    ]
+    for rows, known in steps:
+        batch = raw_items(spark, rows)
+        batch.write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(batch.schema).parquet(landed)
+        orders = staging.stg_orders(
+            raw_orders(spark, [(i, 1, datetime(2024, 1, i, 9)) for i in range(1, known + 1)])
+        )
+        start_fact_upserts(
+            stream, orders, rates, products, partial(upsert_partitions, path), state
+        ).awaitTermination()
+    lines = spark.read.parquet(path).select("order_item_id", "quantity")
+    assert as_rows(lines) == [(1, 5), (2, 1), (3, 1), (4, 1)]
+
+
 def test_landing_and_latest(spark, tmp_path):
     source, landed, state = (str(tmp_path / n) for n in ("src", "landed", "state"))
     types = "id long, price int, changed_at timestamp_ntz"
