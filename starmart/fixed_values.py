@@ -28,6 +28,38 @@ REASON_INVALID_CURRENCY = "invalid_currency_code"
 REASON_UNKNOWN_PRODUCT = "product_id_not_in_catalogue"
 REASON_SEPARATOR = "; "
 
+# The columns of the published report files.
+EXPORT_COLUMNS = {
+    "rpt_top_products": (
+        "product_id",
+        "product_name",
+        "category",
+        "units_sold",
+        "revenue_usd",
+        "rank_by_volume",
+        "rank_by_revenue",
+    ),
+    "rpt_promo_time_of_day": ("hour_of_day", "day_part", "order_count", "revenue_usd"),
+    "rpt_data_quality_exceptions": (
+        "order_item_id",
+        "order_id",
+        "order_date",
+        "product_id",
+        "currency",
+        "line_amount_native",
+        "flag_invalid_currency_code",
+        "flag_product_id_not_in_catalogue",
+        "exception_reasons",
+    ),
+    "kpis_summary": (
+        "total_revenue_usd",
+        "total_units",
+        "total_orders",
+        "dq_exceptions",
+        "total_lines",
+    ),
+}
+
 # The mark of an empty target, and the calendar of the date dimension.
 EMPTY_TARGET_MARK = datetime(1900, 1, 1)
 CALENDAR_FIRST_DAY = date(2024, 1, 1)

@@ -190,9 +190,10 @@ def exceptions(fact: DataFrame) -> DataFrame:
 
 
 def exception_rate_by_day(
-    fact: DataFrame, history_days: int = 28, max_rate: float = 0.5, deviations: float = 3.0
+    fact: DataFrame, history_rows: int = 28, max_rate: float = 0.5, deviations: float = 3.0
 ) -> DataFrame:
-    """Daily exception rate against a fixed limit and against its own recent history.
+    """Daily exception rate against a fixed limit and against its own recent history, the
+    last ``history_rows`` days that have lines.
 
     The window runs over one row per day, which the calendar bounds.
     """
@@ -200,7 +201,7 @@ def exception_rate_by_day(
         F.count(F.lit(1)).alias("lines"), F.count_if(is_exception()).alias("exceptions")
     )
     rate = F.col("exceptions") / F.col("lines")
-    earlier = W.orderBy("order_date_day").rowsBetween(-history_days, -1)
+    earlier = W.orderBy("order_date_day").rowsBetween(-history_rows, -1)
     usual, spread = F.avg("exception_rate").over(earlier), F.stddev("exception_rate").over(earlier)
     return daily.withColumn("exception_rate", rate).select(
         "order_date_day",

@@ -4,21 +4,22 @@ Results use plain types (bigint, double) so that any SQL engine can be compared.
 """
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart import schemas
-from starmart.fixed_values import UNKNOWN_PRODUCT_ID
+from starmart.fixed_values import EXPORT_COLUMNS, UNKNOWN_PRODUCT_ID
 from starmart.functions.calendar import local_time
 from starmart.operators import asof, ordering, quality, scd2, staging, upsert
 from starmart.operators.latest import latest_by_key
+from starmart.operators.skew import join_spread
 from starmart.plans import dimensions, fact, inputs, reports
 from starmart.plans.fact import LINE_KEY
+from starmart.plans.warehouse import export_report
 from starmart.sources import landing, readers
-from starmart.sources.sinks import write_report_csv
 from starmart.storage import land, new_path
 from starmart.streaming.change_stream import start_landing
 from starmart.streaming.fact_stream import start_fact_upserts
@@ -61,9 +62,11 @@ def _orders(spark, d):
     return staging.stg_orders(inputs.raw_orders(spark, d))
 
 
-def _landed_orders(spark, d):
-    """Orders that have arrived so far; pending ones have not."""
-    return _orders(spark, d).filter(F.col("status") != "P")
+def _some_lines_without_order(spark, d):
+    """All lines; those of some orders name an order that does not exist."""
+    order = F.col("order_id")
+    strayed = F.when(order % 50 == 7, order + inputs.OUTSIDE).otherwise(order)
+    return _items(spark, d).withColumn("order_id", strayed)
 
 
 def _rates(spark, d):
@@ -118,9 +121,21 @@ def raw_scan_typed(spark, d):
 
 @query
 def raw_contract(spark, d):
-    return readers.contract_violations(
-        inputs.raw_order_items(spark, d), schemas.RAW_ORDER_ITEMS
-    )
+    """NULLs per required column of all five raw tables."""
+    raw = {
+        "raw_customers": inputs.raw_customers,
+        "raw_orders": inputs.raw_orders,
+        "raw_order_items": inputs.raw_order_items,
+        "raw_products": inputs.raw_products,
+        "raw_fx_rates": inputs.raw_fx_rates,
+    }
+    found = [
+        readers.contract_violations(make(spark, d), schemas.RAW_TABLES[name]).withColumn(
+            "table_name", F.lit(name)
+        )
+        for name, make in raw.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
@@ -161,6 +176,14 @@ def batch_split_semi(spark, d):
     return early
 
 
+@query
+def batch_split_orders(spark, d):
+    """The other half of the split: the orders of the first batch."""
+    orders, items = inputs.raw_orders(spark, d), inputs.raw_order_items(spark, d)
+    early, _ = landing.first_batch(orders, items, _cutoff(orders))
+    return early
+
+
 def _cutoff(orders: DataFrame) -> int:
     """Two thirds of the order ids."""
     return orders.agg(F.max("id")).first()[0] * 2 // 3
@@ -214,22 +237,28 @@ def fx_asof_interval(spark, d):
 
 @query
 def fx_asof_ranked(spark, d):
+    """Every convertible line with its best-ranked rate; ranked per currency and day."""
+    order_day = F.col("order_date").cast("date").alias("order_day")
     dated = fact.dated_lines(_items(spark, d), _orders(spark, d))
-    needed = dated.select("currency", F.col("order_date").cast("date").alias("order_day"))
+    lines = land(dated.select("order_item_id", "currency", order_day), "dated_lines")
     ranked = asof.rank_nearest(
-        needed, _rates(spark, d), "currency", "order_day", "rate_date", "rate_to_usd"
+        lines, _rates(spark, d), "currency", "order_day", "rate_date", "rate_to_usd"
+    )
+    return join_spread(lines, ranked, ["currency", "order_day"], "inner", LINE_KEY).select(
+        "order_item_id", "currency", "order_day", "rate_to_usd", "is_future", "days_apart"
     )
-    return ranked.select("currency", "order_day", "rate_to_usd", "is_future", "days_apart")
 
 
 @query
 def order_items_usd(spark, d):
-    return fact.order_items_usd(_items(spark, d), _landed_orders(spark, d), _rates(spark, d))
+    items = _some_lines_without_order(spark, d)
+    return fact.order_items_usd(items, _orders(spark, d), _rates(spark, d))
 
 
 @query
 def order_items_usd_inner(spark, d):
-    return fact.order_items_usd(_items(spark, d), _landed_orders(spark, d), _rates(spark, d), "inner")
+    items = _some_lines_without_order(spark, d)
+    return fact.order_items_usd(items, _orders(spark, d), _rates(spark, d), "inner")
 
 
 # --- marts --------------------------------------------------------------------------
@@ -354,24 +383,35 @@ def rpt_dq_exceptions(spark, d):
     return quality.exceptions(_fact(spark, d))
 
 
+def _exported(spark, report: DataFrame, name: str) -> DataFrame:
+    """The published file as written, read back with the report's types."""
+    path = new_path(spark, name)
+    export_report(report, name, path)
+    schema = report.select(*EXPORT_COLUMNS[name]).schema
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+@query
+def export_top_products(spark, d):
+    report = reports.top_products(_fact(spark, d), _products(spark, d))
+    return _rounded(_exported(spark, report, "rpt_top_products"), 2, "revenue_usd")
+
+
+@query
+def export_promo(spark, d):
+    report = reports.promo_time_of_day(_fact(spark, d), dimensions.dim_time_of_day(spark))
+    return _rounded(_exported(spark, report, "rpt_promo_time_of_day"), 2, "revenue_usd")
+
+
+@query
+def export_kpis(spark, d):
+    return _exported(spark, reports.kpis(_fact(spark, d)), "kpis_summary")
+
+
 @query
 def export_dq_exceptions(spark, d):
-    """The exception file as written, read back with declared types."""
-    path = new_path(spark, "export")
-    columns = T.StructType(
-        [
-            T.StructField("order_item_id", T.LongType()),
-            T.StructField("order_date", T.TimestampNTZType()),
-            T.StructField("currency", T.StringType()),
-            T.StructField("line_amount_native", schemas.AMOUNT),
-            T.StructField("flag_invalid_currency_code", T.BooleanType()),
-            T.StructField("exception_reasons", T.StringType()),
-        ]
-    )
     report = quality.exceptions(_fact(spark, d))
-    order = [F.col("order_date"), F.col("order_item_id")]
-    write_report_csv(report, path, columns.fieldNames(), order)
-    written = spark.read.schema(columns).option("header", True).csv(path)
+    written = _exported(spark, report, "rpt_data_quality_exceptions")
     # a CSV file does not tell "no reason" from NULL; the report has no NULL here
     return written.fillna("", "exception_reasons")
 

@@ -18,7 +18,7 @@ from starmart.storage import land
 FIRST_EXTRACT_AT = datetime(2001, 1, 1)
 SECOND_EXTRACT_AT = datetime(2001, 7, 1)
 OPEN_END = datetime(9999, 12, 31)
-
+OUTSIDE = 10_000_000_000  # added to an id, gives one that its parent table does not hold
 
 TABLES = {
     "lineitem": (
@@ -41,15 +41,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items, spread over the cores if the file is too small to split."""
-    lines = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() >= cores:
-        return lines
-    return lines.repartition(cores, "l_orderkey")
-
-
 def _currency(order_key: str) -> Column:
     return F.expr(
         f"case {order_key} % 10 when 5 then ' eur ' when 6 then 'EUR' when 7 then 'GBP'"
@@ -91,12 +82,18 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _sold_product() -> Column:
+    """Lines of one part in twenty name a product that the first catalogue does not have."""
+    key = F.col("l_partkey")
+    return F.when(key % 20 == 0, key + OUTSIDE).otherwise(key)
+
+
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lineitem(spark, sf_dir)
+    lines = table(spark, sf_dir, "lineitem")
     return lines.select(
         line_id(lines).alias("id"),
         F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
+        _sold_product().alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").cast(PRICE).alias("unit_price"),
         _currency("l_orderkey").alias("currency"),
@@ -106,12 +103,12 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def redelivered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second full extract: corrected lines come again, with the second stamp."""
-    lines = _lineitem(spark, sf_dir)
+    lines = table(spark, sf_dir, "lineitem")
     corrected = (F.col("l_orderkey") % 6 == 1) & (F.col("l_linenumber") == 1)
     return lines.select(
         line_id(lines).alias("id"),
         F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
+        _sold_product().alias("product_id"),
         (F.col("l_quantity") + F.when(corrected, 1).otherwise(0)).cast("int").alias("quantity"),
         F.col("l_extendedprice").cast(PRICE).alias("unit_price"),
         F.when(corrected, "XYZ").otherwise(_currency("l_orderkey")).alias("currency"),
@@ -122,7 +119,8 @@ def redelivered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation")
     customers = table(spark, sf_dir, "customer")
-    return customers.join(nations, customers.c_nationkey == nations.n_nationkey).select(
+    known = customers.c_nationkey == nations.n_nationkey
+    return customers.join(nations, known, "left").select(
         F.col("c_custkey").alias("id"),
         F.concat(F.lit(" "), "c_name", F.lit(" ")).alias("name"),
         F.concat(F.lit(" "), "c_name", F.lit("@Shop.Example ")).alias("email"),
@@ -145,8 +143,7 @@ def _as_raw_product(parts: DataFrame) -> DataFrame:
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalogue. One part in twenty is not in it, so its lines are orphans."""
-    return _as_raw_product(table(spark, sf_dir, "part").filter(F.col("p_partkey") % 20 != 0))
+    return _as_raw_product(table(spark, sf_dir, "part"))
 
 
 def second_raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,15 +151,17 @@ def second_raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     are missing, some are new."""
     key = F.col("id")
     parts = _as_raw_product(table(spark, sf_dir, "part"))
-    listed = parts.filter((key % 11 != 0) & ((key % 20 != 0) | (key % 40 == 0)))
+    listed = parts.filter(key % 11 != 0)
     dearer = (F.col("base_price") * F.lit(1.1).cast("decimal(2,1)")).cast(PRICE)
-    return listed.withColumns(
+    changed = listed.withColumns(
         {
             "base_price": F.when(key % 7 == 0, dearer).otherwise(F.col("base_price")),
             "category": F.when(key % 13 == 0, "MOVED").otherwise(F.col("category")),
             "description": F.when(key % 17 == 0, "reworded").otherwise(F.col("description")),
         }
     )
+    ids = F.when(key % 40 == 0, F.array(key, key + OUTSIDE)).otherwise(F.array(key))
+    return changed.withColumn("id", F.explode(ids))
 
 
 def raw_product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,18 +188,18 @@ def raw_product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates twice a month (GBP once) for part of the order period, landed once.
+    """Rates twice a month (GBP once), landed once.
 
-    The moving part of a rate comes from the day's order total. Some quotes are not in
-    the reporting currency and codes are unclean.
+    The moving part of a rate comes from the order total of the half month a year before, so
+    the first year's orders are older than any rate. Some quotes are not in the reporting
+    currency and codes are unclean.
     """
     day = F.col("o_orderdate").cast("date")
+    half = F.date_add(F.trunc(day, "month"), F.when(F.dayofmonth(day) < 15, 0).otherwise(14))
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     daily = (
         table(spark, sf_dir, "orders")
-        .filter(F.dayofmonth(day).isin(1, 15))
-        .filter(day.between(F.lit("1996-01-01").cast("date"), F.lit("2000-12-31").cast("date")))
-        .groupBy(day.alias("rate_date"))
+        .groupBy(F.add_months(half, 12).alias("rate_date"))
         .agg((F.sum(cents) % 1000).cast(RATE).alias("x"))
     )
     step = F.lit("0.0001").cast("decimal(5,4)")

@@ -4,8 +4,6 @@ The text is written for itself, not generated from the Spark code: rates are fou
 that engine's own as-of join, ids with one global ``row_number``, histories with unions.
 """
 
-from starmart.operators.quality import MODEL_TESTS, DataTest
-
 _CURRENCY = (
     "case {key} % 10 when 5 then ' eur ' when 6 then 'EUR' when 7 then 'GBP'"
     " when 8 then 'XYZ' when 9 then null else 'USD' end"
@@ -21,7 +19,9 @@ _LINE_ID = """cast('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l
 
 def _lines(quantity: str, currency: str, second: str) -> str:
     return f"""
-    select {_LINE_ID} as id, l_orderkey as order_id, l_partkey as product_id,
+    select {_LINE_ID} as id, l_orderkey as order_id,
+           case when l_partkey % 20 = 0 then l_partkey + 10000000000 else l_partkey end
+             as product_id,
            cast({quantity} as integer) as quantity,
            cast(l_extendedprice as decimal(10,2)) as unit_price,
            {currency} as currency,
@@ -98,24 +98,26 @@ raw_cust as (
            timestamp '1994-01-01 08:30:00' + (c_custkey % 365) * interval 1 day
              as registration_date,
            n_name || ' ' as country
-    from customer join nation on n_nationkey = c_nationkey),
+    from customer left join nation on n_nationkey = c_nationkey),
 all_parts as ({_PRODUCT}),
-raw_prod as (select * from all_parts where id % 20 <> 0),
+raw_prod as (select * from all_parts),
 raw_prod_2 as (
-    select id, name, case when id % 13 = 0 then 'MOVED' else category end as category,
-           case when id % 17 = 0 then 'reworded' else description end as description,
-           case when id % 7 = 0 then cast(base_price * cast(1.1 as decimal(2,1)) as decimal(10,2))
+    select id, name, case when part % 13 = 0 then 'MOVED' else category end as category,
+           case when part % 17 = 0 then 'reworded' else description end as description,
+           case when part % 7 = 0 then cast(base_price * cast(1.1 as decimal(2,1)) as decimal(10,2))
                 else base_price end as base_price,
            currency
-    from all_parts where id % 11 <> 0 and (id % 20 <> 0 or id % 40 = 0)),
+    from (select *, id as part from all_parts
+          union all
+          select * replace (id + 10000000000 as id), id from all_parts where id % 40 = 0)
+    where part % 11 <> 0),
 fx_days as (
-    select cast(o_orderdate as date) as rate_date,
+    select cast(date_trunc('month', o_orderdate)
+                + case when day(o_orderdate) < 15 then interval 0 day else interval 14 day end
+                + interval 1 year as date) as rate_date,
            cast(sum(cast(round(o_totalprice * 100) as bigint)) % 1000 as decimal(18,6))
              * cast(0.0001 as decimal(5,4)) as x
-    from orders
-    where extract(day from o_orderdate) in (1, 15)
-      and o_orderdate >= timestamp '1996-01-01' and o_orderdate < timestamp '2001-01-01'
-    group by 1),
+    from orders group by 1),
 raw_fx as (
     select 'USD' as base_currency, 'USD' as quote_currency, rate_date,
            cast(1 as decimal(18,6)) as rate from fx_days
@@ -143,8 +145,11 @@ stg_ord as (
            upper(trim(currency)) as currency,
            upper(trim(currency)) in ('USD', 'EUR', 'GBP') as is_valid_currency,
            status, _loaded_at from raw_ord),
-landed_ord as (select * from stg_ord where status <> 'P'),
 stg_lines as ({_cleaned_lines("raw_lines")}),
+stray_lines as (
+    select * replace (case when order_id % 50 = 7 then order_id + 10000000000 else order_id end
+                      as order_id)
+    from stg_lines),
 stg_lines_2 as ({_cleaned_lines("raw_lines_2")}),
 usd as ({_in_usd("stg_lines", "stg_ord")}),
 fact as ({_fact_of("usd")}),
@@ -209,6 +214,16 @@ def _promo(per_order: str) -> str:
     group by h.hour_of_day, h.day_part"""
 
 
+_PROMO = _promo(f"select order_id, order_hour, sum({_USD_IF}) as usd from fact group by 1, 2")
+
+_KPIS = f"""
+    select {_money(f"sum({_USD_IF})")} as total_revenue_usd,
+           cast(sum(quantity) as bigint) as total_units,
+           count(distinct order_id) as total_orders,
+           count(*) filter ({_EXCEPTION}) as dq_exceptions, count(*) as total_lines,
+           round(count(*) filter ({_EXCEPTION}) / count(*), 8) as flagged_line_rate
+    from fact"""
+
 _HISTORY = f"""
     select a.product_id, a.product_name, a.category, a.description, a.base_price, a.currency,
            {_FIRST_AT} as valid_from,
@@ -246,41 +261,64 @@ def _product_dimension(history: str) -> str:
     select -1, 'Unknown / Unmatched Product', 'Unknown', null, null, null, null, null, true"""
 
 
-_TEST_TABLES = {
-    "stg_customers": "stg_cust",
-    "stg_orders": "stg_ord",
-    "stg_order_items": "stg_lines",
-    "stg_products": "stg_prod",
-    "stg_fx_rates": "stg_rates",
-    "dim_customers": "stg_cust",
-    "dim_products": "(select product_id from stg_prod union all select -1)",
-    "dim_date": """(select unnest(generate_series(min(cast(order_date as date)),
-        max(cast(order_date as date)), interval 1 day)) as date_day from raw_ord)""",
-    "dim_time_of_day": "hours",
-    "fact_order_items": "fact",
-}
+def _null(model: str, source: str, column: str) -> str:
+    return f"""select '{model}' as model, '{column}' as column_name, 'not_null' as test,
+        'error' as severity, count(*) as failures from {source} where {column} is null"""
+
+
+def _twice(model: str, source: str, column: str) -> str:
+    return f"""select '{model}', '{column}', 'unique', 'error', count(*) from
+        (select {column} from {source} where {column} is not null
+         group by 1 having count(*) > 1)"""
 
 
-def _test_sql(test: DataTest) -> str:
-    source, column = _TEST_TABLES[test.model], test.column
-    failures = {
-        "not_null": f"select count(*) from {source} where {column} is null",
-        "always_true": f"select count(*) from {source} where {column} = false",
-        "unique": f"""select count(*) from (select {column} from {source}
-            where {column} is not null group by 1 having count(*) > 1)""",
-    }
-    if test.parent:
-        failures["relationship"] = f"""select count(*) from {source} where {column} not in
-            (select {column} from {_TEST_TABLES[test.parent]})"""
-    return f"""select '{test.model}' as model, '{column}' as column_name,
-        '{test.kind}' as test, '{test.severity}' as severity,
-        ({failures[test.kind]}) as failures"""
+def _untrue(model: str, source: str, column: str) -> str:
+    return f"""select '{model}', '{column}', 'always_true', 'warn', count(*) from {source}
+        where not {column}"""
 
 
+_DAYS = """(select unnest(generate_series(min(cast(order_date as date)),
+    max(cast(order_date as date)), interval 1 day)) as date_day from raw_ord)"""
+_PRODUCT_KEYS = "(select product_id from stg_prod union all select -1 as product_id)"
+
 _TESTS = f"""
     select *, case when failures = 0 then 'pass' when severity = 'error' then 'fail'
                    else 'warn' end as status
-    from ({" union all ".join(_test_sql(t) for t in MODEL_TESTS)})"""
+    from (
+    {_null("stg_customers", "stg_cust", "customer_id")}
+    union all {_null("stg_customers", "stg_cust", "email")}
+    union all {_twice("stg_customers", "stg_cust", "customer_id")}
+    union all {_null("stg_orders", "stg_ord", "order_id")}
+    union all {_null("stg_orders", "stg_ord", "customer_id")}
+    union all {_null("stg_orders", "stg_ord", "is_valid_currency")}
+    union all {_twice("stg_orders", "stg_ord", "order_id")}
+    union all {_untrue("stg_orders", "stg_ord", "is_valid_currency")}
+    union all {_null("stg_order_items", "stg_lines", "order_item_id")}
+    union all {_null("stg_order_items", "stg_lines", "order_id")}
+    union all {_null("stg_order_items", "stg_lines", "product_id")}
+    union all {_twice("stg_order_items", "stg_lines", "order_item_id")}
+    union all {_untrue("stg_order_items", "stg_lines", "is_valid_currency")}
+    union all {_null("stg_products", "stg_prod", "product_id")}
+    union all {_twice("stg_products", "stg_prod", "product_id")}
+    union all {_null("stg_fx_rates", "stg_rates", "currency")}
+    union all {_null("stg_fx_rates", "stg_rates", "rate_to_usd")}
+    union all {_null("dim_customers", "stg_cust", "customer_id")}
+    union all {_twice("dim_customers", "stg_cust", "customer_id")}
+    union all {_null("dim_products", _PRODUCT_KEYS, "product_id")}
+    union all {_null("dim_date", _DAYS, "date_day")}
+    union all {_twice("dim_date", _DAYS, "date_day")}
+    union all {_null("dim_time_of_day", "hours", "hour_of_day")}
+    union all {_twice("dim_time_of_day", "hours", "hour_of_day")}
+    union all {_null("fact_order_items", "fact", "order_item_id")}
+    union all {_null("fact_order_items", "fact", "order_id")}
+    union all {_null("fact_order_items", "fact", "customer_id")}
+    union all {_null("fact_order_items", "fact", "product_id")}
+    union all {_twice("fact_order_items", "fact", "order_item_id")}
+    union all {_untrue("fact_order_items", "fact", "is_fx_convertible")}
+    union all select 'fact_order_items', 'customer_id', 'relationship', 'error', count(*)
+      from fact where customer_id not in (select customer_id from stg_cust)
+    union all select 'fact_order_items', 'product_id', 'relationship', 'error', count(*)
+      from fact where product_id not in (select product_id from {_PRODUCT_KEYS}))"""
 
 _AFTER_TWO_LOADS = f"""
 , usd_2 as ({_in_usd("stg_lines_2", "stg_ord")}), fact_2 as ({_fact_of("usd_2")})
@@ -289,14 +327,26 @@ _AFTER_TWO_LOADS = f"""
 _BODIES = {
     "raw_scan_typed": """select id, order_id, product_id, cast(quantity as bigint) as quantity,
         cast(unit_price as double) as unit_price, currency, _loaded_at from raw_lines""",
-    "raw_contract": """
-        unpivot (select count_if(id is null) as id, count_if(order_id is null) as order_id,
-                 count_if(product_id is null) as product_id,
-                 count_if(quantity is null) as quantity,
-                 count_if(unit_price is null) as unit_price,
-                 count_if(currency is null) as currency,
-                 count_if(_loaded_at is null) as _loaded_at from raw_lines)
-        on * into name column_name value null_rows""",
+    "raw_contract": " union all ".join(
+        f"""select '{table}' as table_name, '{column}' as column_name,
+                   count_if({column} is null) as null_rows from {source}"""
+        for table, source, columns in (
+            ("raw_customers", "raw_cust", "id name email registration_date country"),
+            (
+                "raw_orders",
+                "raw_ord",
+                "id customer_id order_date total_amount currency status _loaded_at",
+            ),
+            (
+                "raw_order_items",
+                "raw_lines",
+                "id order_id product_id quantity unit_price currency _loaded_at",
+            ),
+            ("raw_products", "raw_prod", "id name category base_price currency"),
+            ("raw_fx_rates", "raw_fx", "base_currency quote_currency rate_date rate"),
+        )
+        for column in columns.split()
+    ),
     "fx_json_flatten": """select base_currency, quote_currency, rate_date,
         cast(rate as double) as rate from raw_fx""",
     "assign_sequential_id": """
@@ -312,6 +362,10 @@ _BODIES = {
                cast(unit_price as double) as unit_price, currency, _loaded_at
         from raw_lines where order_id in
           (select id from raw_ord where id <= (select max(id) * 2 // 3 from raw_ord))""",
+    "batch_split_orders": """
+        select id, customer_id, order_date, cast(total_amount as double) as total_amount,
+               currency, status, _loaded_at
+        from raw_ord where id <= (select max(id) * 2 // 3 from raw_ord)""",
     "stg_customers": "select * from stg_cust",
     "stg_products": """select product_id, product_name, category, description,
         cast(base_price as double) as base_price, currency from stg_prod""",
@@ -324,19 +378,23 @@ _BODIES = {
     "fx_asof_interval": """select order_item_id, currency, order_date,
         cast(rate_to_usd as double) as rate_to_usd from usd""",
     "fx_asof_ranked": """
-        select currency, order_day, cast(rate_to_usd as double) as rate_to_usd,
-               cast(is_future as bigint) as is_future, days_apart
-        from (select n.currency, n.order_day, r.rate_to_usd,
-                     case when r.rate_date <= n.order_day then 0 else 1 end as is_future,
-                     abs(date_diff('day', n.order_day, r.rate_date)) as days_apart
-              from (select distinct currency, cast(order_date as date) as order_day from usd) n
-              join stg_rates r on r.currency = n.currency)
-        qualify row_number() over (partition by currency, order_day
-                                   order by is_future, days_apart) = 1""",
+        select u.order_item_id, u.currency, b.order_day,
+               cast(b.rate_to_usd as double) as rate_to_usd,
+               cast(b.is_future as bigint) as is_future, b.days_apart
+        from usd u join (
+          select currency, order_day, rate_to_usd, is_future, days_apart
+          from (select n.currency, n.order_day, r.rate_to_usd,
+                       case when r.rate_date <= n.order_day then 0 else 1 end as is_future,
+                       abs(date_diff('day', n.order_day, r.rate_date)) as days_apart
+                from (select distinct currency, cast(order_date as date) as order_day from usd) n
+                join stg_rates r on r.currency = n.currency)
+          qualify row_number() over (partition by currency, order_day
+                                     order by is_future, days_apart) = 1) b
+        on b.currency = u.currency and b.order_day = cast(u.order_date as date)""",
     "order_items_usd": f"""select {_USD_COLUMNS}
-        from ({_in_usd("stg_lines", "landed_ord")})""",
+        from ({_in_usd("stray_lines", "stg_ord")})""",
     "order_items_usd_inner": f"""select {_USD_COLUMNS}
-        from ({_in_usd("stg_lines", "landed_ord", "inner")})""",
+        from ({_in_usd("stray_lines", "stg_ord", "inner")})""",
     "fact_order_items": f"select {_FACT_COLUMNS} from fact",
     "fact_partition_pruned": f"""
         select order_date_day, count(*) as lines, cast(sum(quantity) as bigint) as units,
@@ -370,9 +428,7 @@ _BODIES = {
                rank() over (order by stg_lines.line_amount_native desc) as rank_by_amount,
                rank() over (order by stg_lines.quantity desc) as rank_by_quantity
         from stg_lines""",
-    "rpt_promo_time_of_day": _promo(
-        f"select order_id, order_hour, sum({_USD_IF}) as usd from fact group by 1, 2"
-    ),
+    "rpt_promo_time_of_day": _PROMO,
     "rpt_promo_line_grain": f"""
         select h.hour_of_day, h.day_part, count(distinct f.order_id) as order_count,
                {_money(f"sum({_USD_IF})")} as revenue_usd,
@@ -393,18 +449,22 @@ _BODIES = {
                {_REASONS} as exception_reasons
         from fact where {_EXCEPTION}""",
     "export_dq_exceptions": f"""
-        select order_item_id, order_date, currency,
+        select order_item_id, order_id, order_date, product_id, currency,
                cast(line_amount_native as double) as line_amount_native,
                not is_valid_currency as flag_invalid_currency_code,
+               is_unknown_product as flag_product_id_not_in_catalogue,
                {_REASONS} as exception_reasons
         from fact where {_EXCEPTION}""",
-    "kpis_summary": f"""
-        select {_money(f"sum({_USD_IF})")} as total_revenue_usd,
-               cast(sum(quantity) as bigint) as total_units,
-               count(distinct order_id) as total_orders,
-               count(*) filter ({_EXCEPTION}) as dq_exceptions, count(*) as total_lines,
-               round(count(*) filter ({_EXCEPTION}) / count(*), 8) as flagged_line_rate
-        from fact""",
+    "export_top_products": f"""
+        select product_id, product_name, category, units_sold, revenue_usd, rank_by_volume,
+               rank_by_revenue
+        from ({_TOP})""",
+    "export_promo": f"""
+        select hour_of_day, day_part, order_count, revenue_usd from ({_PROMO})""",
+    "export_kpis": f"""
+        select total_revenue_usd, total_units, total_orders, dq_exceptions, total_lines
+        from ({_KPIS})""",
+    "kpis_summary": _KPIS,
     "high_water_mark": """
         select max(_loaded_at) as high_water_mark, 'loaded' as target from raw_lines
         union all select timestamp '1900-01-01', 'empty'""",
@@ -454,16 +514,18 @@ _BODIES = {
                     from fact group by 1)
               window w as (order by order_date_day rows between 28 preceding and 1 preceding))""",
     "reconcile_totals": f"""
-        select cast(sum(quantity) as bigint) as fact_units,
-               cast(coalesce(sum(quantity) filter (product_id = -1), 0) as bigint)
-                 as unknown_units,
-               {_money(f"sum({_USD_IF})")} as fact_revenue_usd,
-               {_money(f"coalesce(sum({_USD_IF}) filter (product_id = -1), 0)")}
-                 as unknown_revenue_usd,
-               cast(sum(quantity) filter (product_id <> -1) as bigint) as reported_units,
-               {_money(f"sum({_USD_IF}) filter (product_id <> -1)")} as reported_revenue_usd,
-               true as is_reconciled
-        from fact""",
+        select cast(w.units as bigint) as fact_units, cast(w.lost as bigint) as unknown_units,
+               {_money("w.usd")} as fact_revenue_usd,
+               {_money("w.lost_usd")} as unknown_revenue_usd,
+               cast(r.units as bigint) as reported_units,
+               {_money("r.usd")} as reported_revenue_usd,
+               w.units = r.units + w.lost and w.usd = r.usd + w.lost_usd as is_reconciled
+        from (select sum(quantity) as units, sum({_USD_IF}) as usd,
+                     coalesce(sum(quantity) filter (product_id = -1), 0) as lost,
+                     coalesce(sum({_USD_IF}) filter (product_id = -1), 0) as lost_usd
+              from fact) w,
+             (select sum(f.quantity) as units, sum({_USD_IF}) as usd
+              from fact f join raw_prod p on p.id = f.product_id) r""",
     "unknown_product_bucket": f"""
         select currency, count(*) as lines, cast(sum(quantity) as bigint) as units,
                {_money("sum(line_amount_usd)")} as revenue_usd

@@ -5,12 +5,13 @@ lazy functions; only marts and the product history are written.
 """
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.fixed_values import CALENDAR_FIRST_DAY, CALENDAR_LAST_DAY, EXPORT_COLUMNS
 from starmart.operators import staging
 from starmart.operators.quality import exceptions, raise_on_failure, run_tests
 from starmart.operators.scd2 import first_snapshot, snapshot
@@ -105,9 +106,16 @@ def load_fact(
 
 
 def build(
-    wh: Warehouse, raw: dict[str, DataFrame], run_at: datetime, since: datetime | None = None
+    wh: Warehouse,
+    raw: dict[str, DataFrame],
+    run_at: datetime,
+    since: datetime | None = None,
+    calendar: tuple[date, date] = (CALENDAR_FIRST_DAY, CALENDAR_LAST_DAY),
 ) -> DataFrame:
-    """One run over raw extracts; returns the data tests and raises if one fails."""
+    """One run over raw extracts; returns the data tests and raises if one fails.
+
+    ``calendar`` holds the first and last day of the date dimension.
+    """
     customers = staging.stg_customers(raw["raw_customers"])
     orders = staging.stg_orders(raw["raw_orders"])
     items = staging.stg_order_items(raw["raw_order_items"])
@@ -117,11 +125,11 @@ def build(
     history = take_snapshot(wh, products, run_at)
     _replace(wh, "dim_products", dimensions.dim_products(history))
     _replace(wh, "dim_customers", dimensions.dim_customers(customers))
-    _replace(wh, "dim_date", dimensions.dim_date(wh.spark))
+    _replace(wh, "dim_date", dimensions.dim_date(wh.spark, *calendar))
     _replace(wh, "dim_time_of_day", dimensions.dim_time_of_day(wh.spark))
     load_fact(wh, items, orders, rates, wh.mart("dim_products"), since)
 
-    results = run_tests(
+    tests = run_tests(
         {
             "stg_customers": customers,
             "stg_orders": orders,
@@ -135,6 +143,7 @@ def build(
             "fact_order_items": wh.fact(),
         }
     )
+    results = land(tests, "data_tests")
     raise_on_failure(results)
     return results
 
@@ -152,50 +161,25 @@ def write_raw_orders(wh: Warehouse, raw: DataFrame) -> None:
 
 
 def export_reports(wh: Warehouse, folder: str) -> None:
-    """The four report files. Only reports of fixed size become a single file."""
+    """The four report files."""
     fact = wh.fact()
-    by_revenue = [F.col("revenue_usd").desc_nulls_last(), F.col("product_id")]
-    write_report_csv(
-        reports.top_products(fact, wh.mart("dim_products")),
-        f"{folder}/rpt_top_products",
-        [
-            "product_id",
-            "product_name",
-            "category",
-            "units_sold",
-            "revenue_usd",
-            "rank_by_volume",
-            "rank_by_revenue",
-        ],
-        by_revenue,
-    )
-    write_report_csv(
-        reports.promo_time_of_day(fact, wh.mart("dim_time_of_day")),
-        f"{folder}/rpt_promo_time_of_day",
-        ["hour_of_day", "day_part", "order_count", "revenue_usd"],
-        [F.col("hour_of_day")],
-        one_file=True,
-    )
-    write_report_csv(
-        exceptions(fact),
-        f"{folder}/rpt_data_quality_exceptions",
-        [
-            "order_item_id",
-            "order_id",
-            "order_date",
-            "product_id",
-            "currency",
-            "line_amount_native",
-            "flag_invalid_currency_code",
-            "flag_product_id_not_in_catalogue",
-            "exception_reasons",
-        ],
-        [F.col("order_date"), F.col("order_item_id")],
-    )
-    write_report_csv(
-        reports.kpis(fact),
-        f"{folder}/kpis_summary",
-        ["total_revenue_usd", "total_units", "total_orders", "dq_exceptions", "total_lines"],
-        [],
-        one_file=True,
-    )
+    made = {
+        "rpt_top_products": reports.top_products(fact, wh.mart("dim_products")),
+        "rpt_promo_time_of_day": reports.promo_time_of_day(fact, wh.mart("dim_time_of_day")),
+        "rpt_data_quality_exceptions": exceptions(fact),
+        "kpis_summary": reports.kpis(fact),
+    }
+    for name, report in made.items():
+        export_report(report, name, f"{folder}/{name}")
+
+
+def export_report(report: DataFrame, name: str, path: str) -> None:
+    """One published file. Only reports of fixed size become a single part."""
+    order = {
+        "rpt_top_products": [F.col("revenue_usd").desc_nulls_last(), F.col("product_id")],
+        "rpt_promo_time_of_day": [F.col("hour_of_day")],
+        "rpt_data_quality_exceptions": [F.col("order_date"), F.col("order_item_id")],
+        "kpis_summary": [],
+    }[name]
+    fixed_size = name in ("rpt_promo_time_of_day", "kpis_summary")
+    write_report_csv(report, path, list(EXPORT_COLUMNS[name]), order, fixed_size)
