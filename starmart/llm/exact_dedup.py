@@ -101,6 +101,10 @@ def new_index(spark: SparkSession) -> DigestIndex:
 
 
 def drop_copies(docs: DataFrame, index: DigestIndex, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents of a batch whose text is new, one for each text, with their own columns."""
-    kept = index.add_batch(docs, id_column, text).filter("kept").select(ROW_ID)
-    return with_row_id(docs).join(land(kept, "kept"), ROW_ID, "left_semi").drop(ROW_ID)
+    """The documents of a batch whose text is new, one for each text, with their own columns.
+
+    Dropped rows are joined, not kept ones: they are the smaller side, so texts are shuffled
+    only where that side is too large for a broadcast.
+    """
+    dropped = index.add_batch(docs, id_column, text).filter("not kept").select(ROW_ID)
+    return with_row_id(docs).join(land(dropped, "dropped"), ROW_ID, "left_anti").drop(ROW_ID)
