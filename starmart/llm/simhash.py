@@ -371,6 +371,7 @@ def near_duplicates(docs: DataFrame, id_column="doc_id", text="text", shingle_wo
 
 
 def drop_near_copies(docs: DataFrame, id_column="doc_id", text="text", **options) -> DataFrame:
-    """One document of each component, with its own columns."""
-    kept = land(near_duplicates(docs, id_column, text, **options).filter("kept").select(ROW_ID), "kept")
-    return with_row_id(docs).join(kept, ROW_ID, "left_semi").drop(ROW_ID)
+    """One document of each component, with its own columns; the dropped ones are joined away."""
+    found = near_duplicates(docs, id_column, text, **options)
+    dropped = land(found.filter("not kept").select(ROW_ID), "dropped")
+    return with_row_id(docs).join(dropped, ROW_ID, "left_anti").drop(ROW_ID)
