@@ -6,8 +6,8 @@ smaller document, or earlier in the same one. Over a whole corpus this takes thr
 1. Every window of ``length`` bytes picks its least ``GRAM``-byte substring by hash; windows in
    a row with the same pick form a segment. Equal windows have equal picks. A task sends each
    different segment once, as two hashes and its first place; all further copies it already
-   knows to be removable. Per pick, copies of one segment are settled by the earliest place;
-   picks with one segment only are done.
+   knows to be removable and deals in small packets to all tasks, which pass them on. Per pick,
+   copies of one segment are settled by the earliest place; picks with one segment only are done.
 2. The segments whose pick also occurs in other surroundings meet by pick. Their windows are
    put in suffix order; the nearest smaller places before and after a window in that order
    give its longest previous factor, and a factor of ``length`` bytes removes the window. A
@@ -45,6 +45,7 @@ HOT = 10_000  # segments of one pick that a task compares at once
 _BLOCK = 1 << 20  # bytes hashed at once; places in a block fit 20 bits
 _FLUSH = 1 << 20  # segments a task holds before it sends them
 _BUCKETS = 8  # groups a partition is read in, one after the other
+_PACKET = 2048  # removable copies that travel together
 _NONE = np.iinfo(np.int64).min  # order of a null id
 
 _SEGMENT = np.dtype([("pick", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("start", "<i8"), ("windows", "<i4")])
@@ -71,6 +72,13 @@ def _gram_hashes(data: np.ndarray) -> dict[int, np.ndarray]:
     return out
 
 
+def _spread(x: np.ndarray) -> np.ndarray:
+    """One to one; a least hash has small high bits, these are even again."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def _span_hash(hashes, at, length):
     """Hash of ``length`` bytes at each place, from the power-of-two pieces."""
     out, offset = np.zeros(len(at), np.uint64), 0
@@ -112,7 +120,7 @@ def segments(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndar
     last = after[np.searchsorted(after, first, side="right")] - 1
     head, tail = _span_hash(hashes, first, length), _span_hash(hashes, last, length)
     content = _mixed(_mixed(head, tail, 1), (last - first).astype(np.uint64) * np.uint64(256) + (pick[first] - first).astype(np.uint64), 3)
-    return first, last, grams[pick[first]], content
+    return first, last, _spread(grams[pick[first]]), content
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], length: int):
@@ -188,9 +196,12 @@ def _local_segments(batches: Iterator[pa.RecordBatch], length: int, buckets: int
         rows, first = _earliest(np.concatenate(held))
         yield from _sent(rows[first], buckets)
         copies = rows[~first]
-        if len(copies):
-            spread = _bucket_of(copies["pick"][:1], buckets)
-            yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array([True]), pa.array([_pack(copies)], pa.binary())], schema=_SENT)
+        copies = copies[np.lexsort((copies["start"], copies["row"]))]
+        for low in range(0, len(copies), _PACKET):
+            packet = copies[low : low + _PACKET]
+            place = packet["row"][:1].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + packet["start"][:1].view(np.uint64)
+            bucket = _bucket_of(_spread(place), buckets)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array([True]), pa.array([_pack(packet)], pa.binary())], schema=_SENT)
 
     for data, ends, marks in _blocks(batches, length):
         first, last, pick, content = segments(np.frombuffer(data, np.uint8), ends, length)
@@ -238,13 +249,10 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]):
 
 
 def _settle(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.RecordBatch]:
-    for _, messages in _by_bucket(batches):
-        sent = [_unpack(m["rows"], _SEGMENT) for m in messages if not m["removed"]]
-        for m in messages:
-            if m["removed"]:
-                yield _decided(_unpack(m["rows"], _SEGMENT), False)
-        if not sent:
-            continue
+    """Removable copies pass through as they come; only the other segments of a bucket are held."""
+    now, sent = None, []
+
+    def settled():
         rows, first = _earliest(np.concatenate(sent))
         yield _decided(rows[~first], False)
         rows = rows[first]
@@ -253,6 +261,20 @@ def _settle(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.RecordBa
         contents = np.repeat(sizes, sizes)
         yield _decided(rows[contents > 1], True, contents[contents > 1] > hot)
 
+    for batch in batches:
+        for bucket, removed, blob in zip(*batch.columns):
+            rows = _unpack(blob.as_py(), _SEGMENT)
+            if removed.as_py():
+                yield _decided(rows, False)
+                continue
+            if bucket.as_py() != now and sent:
+                yield from settled()
+                sent = []
+            now = bucket.as_py()
+            sent.append(rows)
+    if sent:
+        yield from settled()
+
 
 # --- second decision: windows in suffix order ---------------------------------------
 

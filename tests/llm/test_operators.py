@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -321,6 +322,34 @@ def test_suffix_dedup(docs, hot):
     assert Counter((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == want
 
 
+def test_removable_copies_are_dealt_to_all_buckets_and_not_held(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "row_ids", lambda batches: ((0, b) for b in batches))
+    rng, buckets = random.Random(3), 64
+    text = bytes(rng.randrange(97, 123) for _ in range(200_000))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(12), pa.int64()), pa.array([text] * 12, pa.binary())], ["doc", "text"])
+    sent = list(suffix_dedup._local_segments(iter([batch]), 100, buckets))
+    copies, first = Counter(), Counter()
+    for m in (m for b in sent for m in b.to_pylist()):
+        (copies if m["removed"] else first)[m["bucket"]] += len(suffix_dedup._unpack(m["rows"], suffix_dedup._SEGMENT))
+    assert sum(copies.values()) == 11 * sum(first.values())
+    assert len(copies) > buckets / 4 and max(copies.values()) < sum(copies.values()) / 4
+    assert len(first) == buckets and max(first.values()) < 2 * sum(first.values()) / buckets
+
+    read = 0
+
+    def stream():
+        nonlocal read
+        for b in (b for b in sent if b.column("removed")[0].as_py()):
+            read += 1
+            yield b
+
+    settled, rows = suffix_dedup._settle(stream(), 10), 0
+    for n in range(1, 4):
+        rows += next(settled).num_rows
+        assert read == n
+    assert rows + sum(b.num_rows for b in settled) == sum(copies.values())
+
+
 def test_previous_factors():
     rng = np.random.default_rng(3)
     for _ in range(30):
