@@ -18,6 +18,7 @@ Defined results
     clashing extra columns  only the id and the text are read
 """
 
+import json
 import os
 import struct
 import zlib
@@ -65,7 +66,8 @@ class WordIds(dict):
 class WordEncoder:
     """Token ids of texts by a tokenizer that never joins tokens across ASCII space.
 
-    Case A-Z is folded first if the tokenizer folds it anyway.
+    Case A-Z is folded first if the tokenizer folds it anyway. Added tokens are matched before
+    the tokenizer folds, so words that hold one in any case go to the tokenizer as they are.
     """
 
     def __init__(self, path: str):
@@ -76,6 +78,9 @@ class WordEncoder:
         self._ids = lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         self.folds = self._ids("Aa") == self._ids("aa")
         self.ends = bytes(m for m in b".,;:!?" if self._ids(f"a{chr(m)}") == self._ids("a") + self._ids(chr(m)))
+        with open(path, encoding="utf-8") as file:
+            added = {t["content"].encode() for t in json.load(file).get("added_tokens") or []}
+        self.added = sorted({t.lower() if self.folds else t for t in added})
         merges = merges_like(path, self._ids)
 
         def encode_word(word):
@@ -91,7 +96,16 @@ class WordEncoder:
         if len(self.words) > CACHED_WORDS:
             self.words.older = {}
             self.words = WordIds(self._encode_word, self.ends, self.words)
-        return b"".join(map(self.words.__getitem__, (text.lower() if self.folds else text).split()))
+        folded = text.lower() if self.folds else text
+        if not any(token in folded for token in self.added):
+            return b"".join(map(self.words.__getitem__, folded.split()))
+        # A-Z are single bytes, so both splits give the same words
+        return b"".join(map(self._word, text.split(), folded.split()))
+
+    def _word(self, raw: bytes, folded: bytes) -> bytes:
+        if any(token in folded for token in self.added):
+            return struct.pack(f"<{len(found := self._ids(raw.decode()))}I", *found)
+        return self.words[folded]
 
 
 _encoders: dict[str, WordEncoder] = {}

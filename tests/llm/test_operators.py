@@ -550,6 +550,26 @@ def test_packing(docs, rows, empty, monkeypatch, cached):
     assert packing.pack(empty, WORD_VOCABULARY).count() == 0
 
 
+CONTROLS = [
+    "a <|EndOfText|> b",
+    "a <|endoftext|> b",
+    "A<|ENDOFTEXT|>B <|startoftext|>C, Word",
+    "<|endoftext|><|EndOfText|>. <|StartOfText|>",
+    "<|End OfText|> <|endoftext|",
+]
+
+
+def test_control_strings_keep_their_case(spark, tmp_path):
+    tokenizer, encoder = Tokenizer.from_file(WORD_VOCABULARY), packing.WordEncoder(WORD_VOCABULARY)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in CONTROLS]
+    assert [np.frombuffer(encoder.encode(t.encode()), "<u4").tolist() for t in CONTROLS] == want
+    spark.createDataFrame([*enumerate(CONTROLS)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/docs")
+    found = {r.doc_id: r for r in packing.pack(spark.read.parquet(f"{tmp_path}/docs"), WORD_VOCABULARY, with_ids=True).collect()}
+    for i, ids in enumerate(want):
+        some = np.array([*ids, packing.END_ID], "<u4").tobytes()
+        assert (found[i].length, found[i].ids, found[i].ids_crc32) == (len(ids) + 1, some, zlib.crc32(some))
+
+
 def test_word_merges_equal_the_tokenizer():
     tokenizer = Tokenizer.from_file(WORD_VOCABULARY)
     merges = word_bpe.merges_like(WORD_VOCABULARY, lambda t: tokenizer.encode(t, add_special_tokens=False).ids)
