@@ -10,9 +10,12 @@ gives every normaliser, and each token's probability is exact.
 2. Texts become symbol numbers. Frequent words (at most ``TOP_WORDS`` of at most
    ``TOP_WORD_BYTES`` bytes) are looked up in a broadcast table of bounded size; all other
    words, a tenth of a text, are joined with their counts by a shuffle.
-3. Each task trains on the counted pairs of its texts, starting from the common parameters;
-   these are averaged over tasks, weighted by how often each task met a symbol. Each
-   training text is used in one of ``ROUNDS`` rounds.
+3. Each task trains on the counted pairs of its texts, starting from the common parameters and
+   step sizes; these are averaged over tasks, weighted by how often each task met a symbol. A
+   round uses all training texts. Tasks, and texts of a task, grow with the square root of the
+   corpus, so a larger corpus gives each copy more steps. After each round the held-out texts
+   are scored; training ends when they get worse or after ``ROUNDS``, and the best model of
+   these, the unigram start included, is kept.
 4. Token scores are summed per document.
 
 Defined results
@@ -43,13 +46,15 @@ TOP_WORD_BYTES = 64
 SYMBOLS = 1 << 14  # with the class of other words and the end
 DIMENSIONS = 8
 NOISE = 128
-ROUNDS = 2
+ROUNDS = 4  # passes over all training texts, at most
 LEARNING_RATE = 0.1
 
 _END_WORD = b""  # stands for the end in the table of counts; no word is empty
 _COUNTED_WORDS = 400_000  # distinct words a task counts before it passes them on
 _PAIRED_TOKENS = 4_000_000
+_COPY_TOKENS = 250_000  # a corpus of n times as many tokens trains sqrt(n) copies
 _BATCH = 8192
+_LEAST_BATCH = 128  # few pairs are split into up to 64 steps of as many at least
 _SCORED_TOKENS = 200_000
 _BLOCK = 1024  # symbols per row when parameters are averaged
 
@@ -171,6 +176,7 @@ class Model:
     contexts: np.ndarray  # r, a row per symbol
     targets: np.ndarray  # q
     biases: np.ndarray  # b
+    seen: np.ndarray | None = None  # squared gradients so far, of r, q and b
 
 
 def start(counts: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
@@ -184,14 +190,14 @@ def start(counts: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
 class Contrast:
     """Noise-contrastive training of one copy of the parameters, with AdaGrad by row."""
 
-    def __init__(self, model: Model, counts: np.ndarray, noise: int = NOISE, rate: float = LEARNING_RATE, seed: int = 0):
+    def __init__(self, model: Model, counts: np.ndarray, noise: int = NOISE, rate: float = LEARNING_RATE, seed=0):
         self.r, self.q, self.b = model.contexts.copy(), model.targets.copy(), model.biases.copy()
         share = (counts + 1) / (counts + 1).sum()
         self.noise, self.rate, self.rng = noise, rate, np.random.Generator(np.random.PCG64(seed))
         self.log_noise = np.log(noise * share).astype(np.float32)
         self.cumulative = np.cumsum(share)
         n = len(counts)
-        self.seen = [np.ones(n, np.float32) for _ in range(3)]
+        self.seen = np.ones((3, n), np.float32) if model.seen is None else model.seen.copy()
         self.met_context, self.met_target = np.zeros(n), np.zeros(n)
 
     def _descend(self, table, seen, rows, gradient) -> None:
@@ -226,17 +232,18 @@ class Contrast:
         self.met_context += np.bincount(context, n, size)
         self.met_target += np.bincount(target, n, size)
         mixed = self.rng.permutation(len(pairs))
-        for some in np.split(mixed, range(_BATCH, len(mixed), _BATCH)):
+        step = min(_BATCH, max(_LEAST_BATCH, len(mixed) // 64))
+        for some in np.split(mixed, range(step, len(mixed), step)):
             self.learn(context[some], target[some], n[some].astype(np.float32))
 
 
 _SUMS = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("sums", pa.binary())])
 
 
-def _train(batches: Iterator[pa.RecordBatch], model: Model, counts: np.ndarray, fan_in: int) -> Iterator[pa.RecordBatch]:
+def _train(batches: Iterator[pa.RecordBatch], model: Model, counts: np.ndarray, fan_in: int, turn: int = 0) -> Iterator[pa.RecordBatch]:
     """Parameters after the task's texts, times how often each symbol was met."""
     part = TaskContext.get().partitionId()
-    copy, texts, size = Contrast(model, counts, seed=part), [], 0
+    copy, texts, size = Contrast(model, counts, seed=[part, turn]), [], 0
     end = len(counts) - 1
     for batch in batches:
         for ids in batch.column(0):
@@ -249,7 +256,9 @@ def _train(batches: Iterator[pa.RecordBatch], model: Model, counts: np.ndarray,
         copy.learn_texts(texts, end)
     if not copy.met_target.any():
         return
-    rows = np.column_stack([copy.r * copy.met_context[:, None], copy.met_context, copy.q * copy.met_target[:, None], copy.b * copy.met_target, copy.met_target])
+    as_context = np.column_stack([copy.r, copy.seen[0]]) * copy.met_context[:, None]
+    as_target = np.column_stack([copy.q, copy.seen[1], copy.b, copy.seen[2]]) * copy.met_target[:, None]
+    rows = np.column_stack([as_context, copy.met_context, as_target, copy.met_target])
     for block, low in enumerate(range(0, len(rows), _BLOCK)):
         sums = rows[low : low + _BLOCK].astype("<f4").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part // fan_in], pa.int32()), pa.array([sums], pa.binary())], schema=_SUMS)
@@ -266,14 +275,17 @@ def average(sums: DataFrame, model: Model) -> Model:
     some = sums.groupBy("block", "part").applyInArrow(_add_up, kind)
     blocks = some.groupBy("block").applyInArrow(_add_up, kind).collect()  # one row per 1024 symbols
     d = model.contexts.shape[1]
-    mean = Model(model.contexts.copy(), model.targets.copy(), model.biases.copy())
+    seen = np.ones((3, len(model.biases)), np.float32) if model.seen is None else model.seen.copy()
+    mean = Model(model.contexts.copy(), model.targets.copy(), model.biases.copy(), seen)
     for row in blocks:
-        rows = np.frombuffer(row.sums, "<f4").reshape(-1, 2 * d + 3)
+        rows = np.frombuffer(row.sums, "<f4").reshape(-1, 2 * d + 6)
         at = np.arange(row.block * _BLOCK, row.block * _BLOCK + len(rows))
-        as_context, as_target = rows[:, d] > 0, rows[:, -1] > 0
-        mean.contexts[at[as_context]] = rows[as_context, :d] / rows[as_context, d : d + 1]
-        mean.targets[at[as_target]] = rows[as_target, d + 1 : 2 * d + 1] / rows[as_target, -1:]
-        mean.biases[at[as_target]] = rows[as_target, 2 * d + 1] / rows[as_target, -1]
+        as_context, as_target = rows[:, d + 1] > 0, rows[:, -1] > 0
+        context = rows[as_context, : d + 1] / rows[as_context, d + 1 : d + 2]
+        target = rows[as_target, d + 2 : -1] / rows[as_target, -1:]
+        mean.contexts[at[as_context]], mean.seen[0, at[as_context]] = context[:, :d], context[:, d]
+        mean.targets[at[as_target]], mean.seen[1, at[as_target]] = target[:, :d], target[:, d]
+        mean.biases[at[as_target]], mean.seen[2, at[as_target]] = target[:, d + 1], target[:, d + 2]
     return mean
 
 
@@ -318,25 +330,46 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, log_sums: np.ndarray
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.float64())], [ROW_ID, "symbol_score"])
 
 
+def _symbol_scores(coded: DataFrame, model: Model, log_sums: np.ndarray) -> DataFrame:
+    return coded.select(ROW_ID, "ids").mapInArrow(partial(_score, model=model, log_sums=log_sums), f"{ROW_ID} bigint, symbol_score double")
+
+
+def train(coded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> tuple[Model, np.ndarray]:
+    """The model that scores the held-out texts best, and its normalisers.
+
+    Without held-out texts it is the last one.
+    """
+    counts = vocabulary.symbol_counts()
+    held_out = F.col("held_out")
+    lots = coded.filter(~held_out).select("ids").coalesce(max(1, round(np.sqrt(vocabulary.tokens / _COPY_TOKENS))))
+    model, best, most, before = start(counts), None, -np.inf, -np.inf
+    for turn in range(rounds + 1):
+        if turn:
+            sums = lots.mapInArrow(partial(_train, model=model, counts=counts, fan_in=256, turn=turn), "block int, part int, sums binary")
+            model = average(sums, model)
+        log_sums = normalisers(coded.sparkSession, model)
+        now = _symbol_scores(coded.filter(held_out), model, log_sums).agg(F.sum("symbol_score")).first()[0] or 0.0
+        if now >= most:
+            best, most = (model, log_sums), now
+        if turn > 1 and now < before:
+            break
+        before = now
+    return best
+
+
 def score(docs: DataFrame, modulus: int = 7, id_column="doc_id", text="text", top_words=TOP_WORDS, symbols=SYMBOLS, rounds=ROUNDS) -> DataFrame:
     """Score every text by a model of the texts that are not held out.
 
     Returns ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score`` (add-one unigram) and ``score``, both log10.
     """
-    spark = docs.sparkSession
     held_out = is_held_out(modulus, id_column)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), held_out.alias("held_out"), F.col(text).cast("binary").alias("text"))
     counts = count_words(rows.filter(~F.col("held_out")).select("text"))
     vocabulary = frequent(counts, top_words, symbols)
     coded = land(rows.mapInArrow(partial(_code, vocabulary=vocabulary), _CODED), "coded")
 
-    symbol_counts = vocabulary.symbol_counts()
-    model = start(symbol_counts)
-    for turn in range(rounds):
-        lot = coded.filter(~F.col("held_out") & (F.pmod(F.xxhash64(ROW_ID), F.lit(rounds)) == turn)).select("ids")
-        model = average(lot.mapInArrow(partial(_train, model=model, counts=symbol_counts, fan_in=256), "block int, part int, sums binary"), model)
-    scored = coded.select(ROW_ID, "ids").mapInArrow(partial(_score, model=model, log_sums=normalisers(spark, model)), f"{ROW_ID} bigint, symbol_score double")
+    scored = _symbol_scores(coded, *train(coded, vocabulary, rounds))
 
     # words outside the broadcast table: rare by construction, so no word is a hot key
     others = counts.filter((F.col("n") < vocabulary.least) | (F.length("word") > TOP_WORD_BYTES))

@@ -195,6 +195,24 @@ def test_lm_normalised_and_better_than_unigram():
     assert lm_scoring.token_log_probabilities(now, before, model, sums).mean() > unigram + 0.3
 
 
+def test_lm_score_beats_base_on_held_out_texts_with_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "_COPY_TOKENS", 1000, raising=False)
+    rng, word, rows = random.Random(11), 0, []
+    follow = [rng.sample(range(200), 4) for _ in range(200)]
+    for i in range(400):
+        text = []
+        for _ in range(200):
+            text.append(f"w{word}")
+            word = rng.choice(follow[word])
+        rows.append((i, " ".join(text)))
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8).write.parquet(f"{tmp_path}/docs")
+    many = spark.read.option("maxPartitionBytes", "1k").parquet(f"{tmp_path}/docs")
+    held = [r for r in lm_scoring.score(many).collect() if r.held_out]
+    assert len(held) > 30
+    gain = sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held)
+    assert gain > 0.2, gain
+
+
 def test_lm_empty(empty):
     assert lm_scoring.score(empty).count() == 0
 
