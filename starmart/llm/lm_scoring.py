@@ -1,15 +1,17 @@
 """Log-bilinear language model, trained by noise-contrastive estimation.
 
 The score of word w after word h is r(h) . q(w) + b(w). Symbols are the most frequent words, one
-class for all other words, and the end of a text; a word of that class is then drawn by
+class for all other words, and the end of a text; there are ``SYMBOLS_PER_ROOT`` times the root of
+the number of training tokens, so they grow with the corpus and normalisers cost as much per token
+at any size; a word of that class is then drawn by
 add-one smoothed counts. Training contrasts the pairs of the corpus with words drawn from the
 unigram distribution. Because a context is one symbol, one matrix product per block of contexts
 gives every normaliser, and each token's probability is exact.
 
 1. Words are counted over all training texts, first within a task.
-2. Texts become symbol numbers. Frequent words (at most ``TOP_WORDS`` of at most
-   ``TOP_WORD_BYTES`` bytes) are looked up in a broadcast table of bounded size; all other
-   words, a tenth of a text, are joined with their counts by a shuffle.
+2. Texts become symbol numbers. Frequent words (at most ``TOP_WORDS``, or as many as there are
+   symbols, of at most ``TOP_WORD_BYTES`` bytes) are looked up in a broadcast table; all other
+   words are joined with their counts by a shuffle.
 3. Each task trains on the counted pairs of its texts, starting from the common parameters and
    step sizes; these are averaged over tasks, weighted by how often each task met a symbol. A
    round uses all training texts. Tasks, and texts of a task, grow with the square root of the
@@ -43,7 +45,8 @@ from starmart.llm.common import ROW_ID, is_held_out, land, row_ids
 
 TOP_WORDS = 1 << 17
 TOP_WORD_BYTES = 64
-SYMBOLS = 1 << 14  # with the class of other words and the end
+SYMBOLS_PER_ROOT = 8
+LEAST_SYMBOLS = 1 << 14  # with the class of other words and the end
 DIMENSIONS = 8
 NOISE = 128
 ROUNDS = 4  # passes over all training texts, at most
@@ -57,6 +60,8 @@ _BATCH = 8192
 _LEAST_BATCH = 128  # few pairs are split into up to 64 steps of as many at least
 _SCORED_TOKENS = 200_000
 _BLOCK = 1024  # symbols per row when parameters are averaged
+_SUMMED = 1 << 14  # targets whose scores are held at once for a normaliser
+_STOP_CONTEXTS = 1 << 14  # most frequent contexts after which held-out tokens decide when to stop
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -121,14 +126,18 @@ class Vocabulary:
         return float(self.symbol_counts()[self.other] + self.distinct - self.named - (self.ends > 0) + 1)
 
 
-def frequent(counts: DataFrame, top_words: int = TOP_WORDS, symbols: int = SYMBOLS) -> Vocabulary:
+def frequent(counts: DataFrame, top_words: int = TOP_WORDS, symbols: int | None = None) -> Vocabulary:
     """The words above a count that at most ``top_words`` words reach.
 
     The count is found in a histogram with exact low and logarithmic high classes, so neither
-    a sort of all words nor more than ``top_words`` rows reach the driver.
+    a sort of all words nor more than ``top_words`` rows reach the driver. Without ``symbols``
+    their number follows the tokens, and ``top_words`` is at least as large.
     """
     word = F.col("word") != F.lit(_END_WORD)
     total = counts.agg(F.sum("n").alias("tokens"), F.count_if(F.col("n") > 0).alias("words"), F.sum(F.when(~word, F.col("n"))).alias("ends")).first()
+    if symbols is None:
+        symbols = max(LEAST_SYMBOLS, int(SYMBOLS_PER_ROOT * np.sqrt(total.tokens or 0)))
+        top_words = max(top_words, symbols)
     short = counts.filter(word & (F.length("word") <= TOP_WORD_BYTES))
     level = F.when(F.col("n") < 1024, F.col("n")).otherwise((F.floor(F.log2("n") * 32) + 1024).cast("long"))
     levels = short.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least")).collect()
@@ -138,8 +147,9 @@ def frequent(counts: DataFrame, top_words: int = TOP_WORDS, symbols: int = SYMBO
         if room < 0:
             break
         least = step.least
-    rows = sorted(short.filter(F.col("n") >= least).collect(), key=lambda r: (-r.n, bytes(r.word)))
-    return Vocabulary([bytes(r.word) for r in rows], np.array([r.n for r in rows], np.int64), least, total.tokens or 0, total.words or 0, total.ends or 0, symbols)
+    table = short.filter(F.col("n") >= least).select("word", "n").toArrow()
+    rows = sorted(zip(table["word"].to_pylist(), table["n"].to_pylist()), key=lambda r: (-r[1], r[0]))
+    return Vocabulary([w for w, _ in rows], np.array([n for _, n in rows], np.int64), least, total.tokens or 0, total.words or 0, total.ends or 0, symbols)
 
 
 # --- symbol numbers -----------------------------------------------------------------
@@ -148,6 +158,16 @@ def frequent(counts: DataFrame, top_words: int = TOP_WORDS, symbols: int = SYMBO
 _CODED = f"{ROW_ID} bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_sum double, other_sum double, n_other bigint, ids binary, rare array<binary>"
 
 
+def _to_bytes(ids: np.ndarray) -> bytes:
+    """Low halves, then high halves: the latter are nearly all alike and compress."""
+    return (ids & 0xFFFF).astype("<u2").tobytes() + (ids >> 16).astype("<u2").tobytes()
+
+
+def _from_bytes(blob: bytes) -> np.ndarray:
+    halves = np.frombuffer(blob, "<u2").astype(np.uint32).reshape(2, -1)
+    return halves[0] | halves[1] << 16
+
+
 def _code(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
     number = {word: i for i, word in enumerate(vocabulary.words)}
     logs = np.append(np.log10(vocabulary.counts + 1.0), 0.0)  # the last: not a frequent word
@@ -161,9 +181,9 @@ def _code(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator
             at = np.array([number.get(w, missing) for w in words], np.int64)
             gain, unnamed = logs[at], at >= named
             rare = [words[j] for j in np.flatnonzero(at == missing)]
-            ids = np.append(np.where(unnamed, other, at), end).astype("<u2")
+            ids = np.append(np.where(unnamed, other, at), end)
             known = len(words) - len(rare) + (vocabulary.ends > 0)
-            rows.append((first + i, len(words) + 1, known, float(gain.sum()) + end_log, float(gain[unnamed].sum()), int(unnamed.sum()), ids.tobytes(), rare))
+            rows.append((first + i, len(words) + 1, known, float(gain.sum()) + end_log, float(gain[unnamed].sum()), int(unnamed.sum()), _to_bytes(ids), rare))
         row, *others = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 8, kinds)]
         yield pa.RecordBatch.from_arrays([row, batch.column(0), batch.column(1), *others], [ROW_ID, "doc_id", "held_out", "n_tokens", "n_known", "base_sum", "other_sum", "n_other", "ids", "rare"])
 
@@ -247,7 +267,7 @@ def _train(batches: Iterator[pa.RecordBatch], model: Model, counts: np.ndarray,
     end = len(counts) - 1
     for batch in batches:
         for ids in batch.column(0):
-            texts.append(np.frombuffer(ids.as_py(), "<u2"))
+            texts.append(_from_bytes(ids.as_py()))
             size += len(texts[-1])
             if size >= _PAIRED_TOKENS:
                 copy.learn_texts(texts, end)
@@ -289,25 +309,31 @@ def average(sums: DataFrame, model: Model) -> Model:
     return mean
 
 
-def _normalisers(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+def _normalisers(batches: Iterator[pa.RecordBatch], model: Model, contexts: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Logarithm of the sum over all symbols, for blocks of contexts."""
     for batch in batches:
         for block in batch.column(0).to_pylist():
-            low = block * _BLOCK
-            contexts = model.contexts[low : low + _BLOCK]
-            logs = np.empty(len(contexts))
-            for i in range(0, len(contexts), 128):
-                scores = contexts[i : i + 128] @ model.targets.T + model.biases
-                top = scores.max(axis=1)
-                logs[i : i + 128] = top + np.log(np.exp(scores - top[:, None]).sum(axis=1, dtype=np.float64))
-            at = pa.array(range(low, low + len(contexts)), pa.int64())
-            yield pa.RecordBatch.from_arrays([at, pa.array(logs)], ["symbol", "log_sum"])
-
-
-def normalisers(spark, model: Model) -> np.ndarray:
-    blocks = -(-len(model.biases) // _BLOCK)
-    rows = spark.range(0, blocks, 1, blocks).mapInArrow(partial(_normalisers, model=model), "symbol bigint, log_sum double")
-    return np.array([r.log_sum for r in sorted(rows.collect())])
+            some = model.contexts[contexts[block * _BLOCK : (block + 1) * _BLOCK]]
+            logs = np.full(len(some), -np.inf)
+            for low in range(0, len(model.biases), _SUMMED):
+                targets, biases = model.targets[low : low + _SUMMED].T, model.biases[low : low + _SUMMED]
+                for i in range(0, len(some), 128):
+                    scores = some[i : i + 128] @ targets + biases
+                    top = scores.max(axis=1)
+                    scores -= top[:, None]
+                    part = top + np.log(np.exp(scores, out=scores).sum(axis=1, dtype=np.float64))
+                    logs[i : i + 128] = np.logaddexp(logs[i : i + 128], part)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([logs.tobytes()], pa.binary())], ["block", "logs"])
+
+
+def normalisers(spark, model: Model, contexts: np.ndarray | None = None) -> np.ndarray:
+    """Of the given contexts, or all; infinite for the others."""
+    contexts = np.arange(len(model.biases)) if contexts is None else contexts
+    blocks = -(-len(contexts) // _BLOCK)
+    rows = spark.range(0, blocks, 1, blocks).mapInArrow(partial(_normalisers, model=model, contexts=contexts), "block bigint, logs binary")
+    out = np.full(len(model.biases), np.inf)
+    out[contexts] = np.concatenate([np.frombuffer(r.logs) for r in sorted(rows.collect())])
+    return out
 
 
 # --- scoring ------------------------------------------------------------------------
@@ -323,14 +349,17 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, log_sums: np.ndarray
     for batch in batches:
         sums = []
         for blob in batch.column(1):
-            ids = np.frombuffer(blob.as_py(), "<u2").astype(np.int64)
+            ids = _from_bytes(blob.as_py()).astype(np.int64)
             before = np.concatenate([[end], ids[:-1]])
+            known = log_sums[before] != np.inf
+            ids, before = ids[known], before[known]
             steps = range(0, len(ids), _SCORED_TOKENS)
             sums.append(sum(token_log_probabilities(ids[i : i + _SCORED_TOKENS], before[i : i + _SCORED_TOKENS], model, log_sums).sum() for i in steps))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.float64())], [ROW_ID, "symbol_score"])
 
 
 def _symbol_scores(coded: DataFrame, model: Model, log_sums: np.ndarray) -> DataFrame:
+    """Per text; tokens after a context without a normaliser are left out."""
     return coded.select(ROW_ID, "ids").mapInArrow(partial(_score, model=model, log_sums=log_sums), f"{ROW_ID} bigint, symbol_score double")
 
 
@@ -343,21 +372,23 @@ def train(coded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> tup
     held_out = F.col("held_out")
     lots = coded.filter(~held_out).select("ids").coalesce(max(1, round(np.sqrt(vocabulary.tokens / _COPY_TOKENS))))
     model, best, most, before = start(counts), None, -np.inf, -np.inf
+    # numbers go by frequency; the class of other words and the end are the last two
+    contexts = np.unique(np.append(np.arange(min(len(counts), _STOP_CONTEXTS)), [len(counts) - 2, len(counts) - 1]))
     for turn in range(rounds + 1):
         if turn:
             sums = lots.mapInArrow(partial(_train, model=model, counts=counts, fan_in=256, turn=turn), "block int, part int, sums binary")
             model = average(sums, model)
-        log_sums = normalisers(coded.sparkSession, model)
+        log_sums = normalisers(coded.sparkSession, model, contexts)
         now = _symbol_scores(coded.filter(held_out), model, log_sums).agg(F.sum("symbol_score")).first()[0] or 0.0
         if now >= most:
-            best, most = (model, log_sums), now
+            best, most = model, now
         if turn > 1 and now < before:
             break
         before = now
-    return best
+    return best, normalisers(coded.sparkSession, best)
 
 
-def score(docs: DataFrame, modulus: int = 7, id_column="doc_id", text="text", top_words=TOP_WORDS, symbols=SYMBOLS, rounds=ROUNDS) -> DataFrame:
+def score(docs: DataFrame, modulus: int = 7, id_column="doc_id", text="text", top_words=TOP_WORDS, symbols=None, rounds=ROUNDS) -> DataFrame:
     """Score every text by a model of the texts that are not held out.
 
     Returns ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,

@@ -213,6 +213,31 @@ def test_lm_score_beats_base_on_held_out_texts_with_many_tasks(spark, tmp_path,
     assert gain > 0.2, gain
 
 
+def test_lm_symbols_grow_with_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "LEAST_SYMBOLS", 4, raising=False)
+    monkeypatch.setattr(lm_scoring, "SYMBOLS_PER_ROOT", 2, raising=False)
+    sizes = []
+    for n in (100, 10_000):
+        rows = [(f"w{i}".encode(), 1 + n // (i + 1)) for i in range(n // 20)] + [(b"", 10)]
+        vocabulary = lm_scoring.frequent(spark.createDataFrame(rows, "word binary, n bigint"), top_words=3)
+        assert vocabulary.symbols == max(4, int(2 * np.sqrt(vocabulary.tokens)))
+        assert vocabulary.named <= len(vocabulary.words)
+        sizes.append(vocabulary.named)
+    assert sizes[1] > 5 * sizes[0]
+    wide = np.array([0, 1, 65_535, 65_536, 1_000_000])
+    assert lm_scoring._from_bytes(lm_scoring._to_bytes(wide)).tolist() == wide.tolist()
+
+
+def test_lm_normalisers_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "_SUMMED", 7)
+    rng = np.random.Generator(np.random.PCG64(2))
+    model = lm_scoring.Model(*(rng.normal(0, 1, shape).astype(np.float32) for shape in ((30, 3), (30, 3), 30)))
+    want = np.log(np.exp(model.contexts @ model.targets.T + model.biases).sum(axis=1))
+    assert np.allclose(lm_scoring.normalisers(spark, model), want, atol=1e-5)
+    some = lm_scoring.normalisers(spark, model, np.array([2, 29]))
+    assert np.flatnonzero(some != np.inf).tolist() == [2, 29] and np.allclose(some[[2, 29]], want[[2, 29]], atol=1e-5)
+
+
 def test_lm_empty(empty):
     assert lm_scoring.score(empty).count() == 0
 
