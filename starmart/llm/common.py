@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from starmart.storage import land
 
-__all__ = ["ROW_ID", "is_held_out", "land", "partitions", "read", "row_ids", "ship", "text_or_empty", "with_row_id"]
+__all__ = ["ROW_ID", "file_uri", "is_held_out", "land", "partitions", "read", "row_ids", "ship", "text_or_empty", "with_row_id"]
 
 ROW_ID = "__row_id"
 
@@ -66,5 +66,10 @@ def is_held_out(modulus: int, id_column: str = "doc_id") -> Column:
     return F.coalesce(rest == 2, F.lit(False))
 
 
+def file_uri(folder: str) -> str:
+    """file:/a, as Hadoop writes it, with the authority that pyarrow wants."""
+    return f"file://{folder.removeprefix('file:')}" if folder.startswith("file:/") and not folder.startswith("file://") else folder
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

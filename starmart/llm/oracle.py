@@ -97,9 +97,86 @@ select
 from counts
 """
 
+_TREE_LEVELS = 7  # runs of 16 of runs of 16 ...: 268 million leaves below one node
+
+
+def _tree_sql(leaves: str, tree: str, name: str) -> str:
+    """CTEs of one tree per ``tree``: ``name``_l has the nodes of level l and their siblings."""
+    steps = [f"""{name}_0 as (
+        select {tree} as t, r, digest, count(*) over (partition by {tree}) as n from {leaves}
+    )"""]
+    for level in range(1, _TREE_LEVELS):
+        steps.append(f"""{name}_s{level - 1} as (
+        select *,
+            coalesce(string_agg(digest, '') over (partition by t, r // 16 order by r
+                rows between unbounded preceding and 1 preceding), '') as l,
+            coalesce(string_agg(digest, '') over (partition by t, r // 16 order by r
+                rows between 1 following and unbounded following), '') as g
+        from {name}_{level - 1}
+    ), {name}_{level} as (
+        select t, r, case when n = 1 then digest else sha256(digest) end as digest, count(*) over (partition by t) as n
+        from (
+            select t, r // 16 as r, string_agg(digest, '' order by r) as digest, max(n) as n
+            from {name}_{level - 1} group by t, r // 16
+        )
+    )""")
+    return ", ".join(steps)
+
+
+def _climb_sql(name: str, start: str) -> str:
+    """Digest and siblings of every row of ``start`` (t, r, x, p) after each level."""
+    steps, before = [], start
+    for level in range(_TREE_LEVELS - 1):
+        now = f"{name}_c{level}"
+        steps.append(f"""{now} as (
+        select c.doc_id, c.t, c.r // 16 as r, case when s.n = 1 then c.x else sha256(s.l || c.x || s.g) end as x, c.p || s.l || s.g as p
+        from {before} c join {name}_s{level} s on c.t is not distinct from s.t and c.r = s.r
+    )""")
+        before = now
+    return ", ".join(steps)
+
+
+_OP13 = f"""
+with crc_0 as (
+    select unnest(range(0, 256))::bigint as i, unnest(range(0, 256))::bigint as v
+), {", ".join(f"crc_{k} as (select i, case when v % 2 = 1 then xor(v >> 1, 3988292384) else v >> 1 end as v from crc_{k - 1})" for k in range(1, 9))},
+crc as (
+    select list(v order by i) as byte_of from crc_8
+), crcs as (
+    select doc_id, xor(list_reduce(
+        list_prepend(4294967295::bigint, list_transform(range(1, length(doc_id::varchar) + 1), lambda i: ascii(substr(doc_id::varchar, i, 1))::bigint)),
+        lambda c, b: xor(c >> 8, byte_of[(xor(c, b) & 255) + 1])), 4294967295) as crc
+    from (select distinct doc_id from documents), crc
+), cells as (
+    select doc_id, source, row_number() over (partition by source order by doc_id) - 1 as r,
+        coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head,
+        coalesce(strlen(text) || ':' || text, '-') as body,
+        coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') as lower_body
+    from documents
+), leaves as (
+    select doc_id, source, r, sha256(head || body) as digest,
+        sha256(head || case when crc % 5 = 0 then lower_body else body end) as seen
+    from cells left join crcs using (doc_id)
+), {_tree_sql("leaves", "source", "low")}, subroots as (
+    select t as source, digest, 0 as all_of, row_number() over (order by t nulls first) - 1 as r from low_{_TREE_LEVELS - 1}
+), {_tree_sql("subroots", "all_of", "top")}, start as (
+    select doc_id, source as t, r, seen as x, '' as p from leaves
+), {_climb_sql("low", "start")}, between_trees as (
+    select doc_id, 0 as t, s.r, x, p from low_c{_TREE_LEVELS - 2} c join subroots s on c.t is not distinct from s.source
+), {_climb_sql("top", "between_trees")}
+select c.doc_id, l.digest as leaf, s.digest as subroot, top.digest as root, sha256(c.p) as proof_sha256,
+    c.x as folded_root, c.x = top.digest as verified
+from top_c{_TREE_LEVELS - 2} c
+join leaves l on c.doc_id is not distinct from l.doc_id
+join subroots s on l.source is not distinct from s.source
+cross join top_{_TREE_LEVELS - 1} top
+"""
+
 ORACLE_SQL = {
     "op1_chat_formatting": _OP1,
     "op3_warc": _OP3,
     "op4_exact_dedup": _OP4,
     "op5_quality_rules": _OP5,
+    "op13_merkle_manifest": _OP13,
 }

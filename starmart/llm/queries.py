@@ -1,21 +1,25 @@
 """The named queries of this subpackage, each over whole tables."""
 
 from functools import wraps
+from string import ascii_lowercase, ascii_uppercase
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import (
+    alignment,
     byte_bpe,
     chat_format,
     exact_dedup,
     lang_id,
     lm_scoring,
+    merkle,
     packing,
     quality_rules,
     simhash,
     suffix_dedup,
+    token_files,
     warc,
 )
 from starmart.llm.common import read, ship
@@ -95,6 +99,32 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabularies = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(read(spark, sf_dir, "documents"), *vocabularies, public_tokenizers.PATTERN).documents
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = token_files.write_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_tokens(index, with_ids=False)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.when(tampered, F.translate("text", ascii_uppercase, ascii_lowercase)).otherwise(F.col("text"))
+    made = merkle.manifest(read(spark, sf_dir, "documents"), changed={"text": lowered})
+    folded = made.rows.withColumn("folded_root", merkle.fold("seen"))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        F.lit(made.root).cast("string").alias("root"),
+        _sha256(merkle.proof().cast("binary")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.lit(made.root)).alias("verified"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -123,6 +153,9 @@ QUERIES = {
         op8_simhash,
         op9_language_id,
         op10_packing,
+        op11_cross_tokenizer_alignment,
+        op12_token_files,
+        op13_merkle_manifest,
         pipeline,
     )
 }

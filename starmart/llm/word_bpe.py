@@ -15,7 +15,7 @@ _CLOSE = b"\xff"
 _PROBES = 4000
 
 
-def _byte_alphabet() -> dict[str, int]:
+def byte_alphabet() -> dict[str, int]:
     """Characters that stand for bytes in byte-level vocabularies: printable ones for
     themselves, the others in order from U+0100."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -29,7 +29,7 @@ class WordMerges:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
-        suffix, byte_of = model["end_of_word_suffix"], _byte_alphabet()
+        suffix, byte_of = model["end_of_word_suffix"], byte_alphabet()
 
         def raw(token):
             stem = token.removesuffix(suffix)
