@@ -2,22 +2,23 @@
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
 from functools import cache
 from pathlib import Path
 
-import pyarrow as pa
-from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starmart.storage import land
 
-__all__ = ["ROW_ID", "file_uri", "is_held_out", "land", "partitions", "read", "row_ids", "ship", "text_or_empty", "with_row_id"]
+__all__ = ["ROW_ID", "file_uri", "identified", "is_held_out", "land", "partitions", "read", "ship", "text_or_empty"]
 
 ROW_ID = "__row_id"
 
-_ROWS_BELOW = 33  # bits that Spark keeps for the row within its partition
+_FILE, _PLACE = "__file", "__place"
+_PLACE_BITS = 40  # a row's place in its file; the rest numbers 8 million files
+_FILES_BYTES, _FILE_OVERHEAD = 128 * 1024 * 1024, 40
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,27 +44,45 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
-    """Number the rows of a table that is read from files.
+def identified(docs: DataFrame) -> DataFrame:
+    """The table with a number for each row that is the same in every scan.
 
-    The number is the partition and the place in it. Spark cuts the same files into the
-    same partitions each time, so two scans of one table, or a repeated task, agree.
+    For a plain scan of Parquet files it is the file's place among their names and the row's
+    place in the file, so it depends neither on how a scan is cut into tasks nor on the cores of
+    the moment, and no row is written. Rows of anything else, or of more files than a broadcast
+    may hold, are numbered as they are written, once. A column of this name is replaced.
     """
-    return df.withColumn(ROW_ID, F.monotonically_increasing_id())
-
-
-def row_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """The same numbers inside an Arrow function over a scan: (id of the first row, batch)."""
-    first = TaskContext.get().partitionId() << _ROWS_BELOW
-    for batch in batches:
-        yield first, batch
-        first += batch.num_rows
-
-
-def is_held_out(modulus: int, id_column: str = "doc_id") -> Column:
-    """Whether the document's crc32 leaves remainder 2; a null id is never held out."""
+    named = docs.select(*[c for c in docs.columns if c != ROW_ID])
+    if _is_scan(docs):
+        place = docs.metadataColumn("_metadata")
+        placed = docs.select(*named.columns, place["file_path"].alias(_FILE), place["row_index"].alias(_PLACE))
+        files = placed.select(_FILE).distinct().withColumn("number", F.row_number().over(W.orderBy(_FILE)))
+        files = land(files, "files")  # one row per file
+        size = files.agg(F.sum(F.length(_FILE) + _FILE_OVERHEAD)).first()[0] or 0
+        if size <= _FILES_BYTES:
+            number = F.shiftleft(F.col("number").cast("long"), _PLACE_BITS).bitwiseOR(F.col(_PLACE))
+            return placed.join(F.broadcast(files), _FILE).select(*named.columns, number.alias(ROW_ID))
+    return land(named.withColumn(ROW_ID, F.monotonically_increasing_id()), "numbered")
+
+
+def _is_scan(docs: DataFrame) -> bool:
+    """Whether every row comes from one row of Parquet files."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    if plan.nodeName() != "LogicalRelation" and not plan.nodeName().startswith("Relation"):
+        return False
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        return False
+    return True
+
+
+def is_held_out(modulus: int, id_column: str = "doc_id", remainder: int = 2) -> Column:
+    """Whether the document's crc32 leaves the remainder; a null id is never held out."""
     rest = F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus
-    return F.coalesce(rest == 2, F.lit(False))
+    return F.coalesce(rest == remainder, F.lit(False))
 
 
 def file_uri(folder: str) -> str:

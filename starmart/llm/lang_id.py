@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starmart.llm.common import ROW_ID, is_held_out, land, with_row_id
+from starmart.llm.common import ROW_ID, identified, is_held_out, land
 
 FEATURE_BITS = 17
 ROWS_PER_LANGUAGE = 500
@@ -70,7 +70,8 @@ def pieces_of(text: str) -> Iterator[str]:
 def gram_columns(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """(columns of the 1-, 2- and 3-grams at each place, first place of each text, letters).
 
-    Each text gets a space on both sides.
+    Each text gets a space on both sides; grams that begin with the one behind it do not count,
+    so a text has the same grams wherever it stands.
     """
     points = np.frombuffer(("\n" + "\n".join(texts) + "\n").encode("utf-32-le"), "<u4")
     folded = _fold()[np.minimum(points, _LAST_LETTER)]
@@ -95,8 +96,7 @@ def gram_columns(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.nda
         column[: len(code)] = (code >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
         for j in range(1, n - 1):  # grams that start inside a text and end behind its space
             column[last - j] = _DUMMY
-        if n > 1:
-            column[last[-1]] = _DUMMY
+        column[last[-1]] = _DUMMY  # the space after a text counts for the next one, if at all
         columns.append(column)
     letters = np.add.reduceat(np.append(letter[kept], False).astype(np.int64), first)
     return columns, first, letters
@@ -215,12 +215,13 @@ def train(docs: DataFrame, id_column="doc_id", text="text", language="lang", row
 
     The sample is chosen on ids and languages alone; texts are read for the chosen rows only.
     """
-    labelled = with_row_id(docs).filter(F.col(language).isNotNull())
+    docs = identified(docs)
+    labelled = docs.filter(F.col(language).isNotNull())
     order = F.xxhash64(F.col(id_column).cast("string"), ROW_ID)
     narrow = labelled.select(ROW_ID, F.col(language).alias("lang"), order.alias("order"))
     first = W.partitionBy("lang").orderBy("order", ROW_ID)
     chosen = land(narrow.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= rows_per_language).drop("n"), "sample")
-    texts = with_row_id(docs).select(ROW_ID, F.coalesce(F.col(text), F.lit("")).alias("text"))
+    texts = docs.select(ROW_ID, F.coalesce(F.col(text), F.lit("")).alias("text"))
     sample = texts.join(F.broadcast(chosen), ROW_ID).select("text", "lang", "order")
     made = land(
         sample.repartition(1).mapInArrow(_train, "names array<string>, used array<int>, weights binary, bias array<double>, temperature double"),

@@ -14,10 +14,11 @@ gives every normaliser, and each token's probability is exact.
    words are joined with their counts by a shuffle.
 3. Each task trains on the counted pairs of its texts, starting from the common parameters and
    step sizes; these are averaged over tasks, weighted by how often each task met a symbol. A
-   round uses all training texts. Tasks, and texts of a task, grow with the square root of the
-   corpus, so a larger corpus gives each copy more steps. After each round the held-out texts
-   are scored; training ends when they get worse or after ``ROUNDS``, and the best model of
-   these, the unigram start included, is kept.
+   round uses all of them. Tasks, and texts of a task, grow with the square root of the corpus, so
+   a larger corpus gives each copy more steps. Training texts of another remainder (``JUDGES``)
+   are counted but not trained on: after each round they are scored; training ends when they get
+   worse or after ``ROUNDS``, and the best model of these, the unigram start included, is kept.
+   Held-out texts are scored once, by that model, and decide nothing.
 4. Token scores are summed per document.
 
 Defined results
@@ -41,15 +42,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import ROW_ID, is_held_out, land, row_ids
+from starmart.llm.common import ROW_ID, is_held_out, land
 
 TOP_WORDS = 1 << 17
 TOP_WORD_BYTES = 64
 SYMBOLS_PER_ROOT = 8
 LEAST_SYMBOLS = 1 << 14  # with the class of other words and the end
 DIMENSIONS = 8
-NOISE = 128
-ROUNDS = 4  # passes over all training texts, at most
+NOISE = 64
+ROUNDS = 3  # passes over all training texts, at most
+JUDGES = 3  # remainder of the training texts that decide when to stop
 LEARNING_RATE = 0.1
 
 _END_WORD = b""  # stands for the end in the table of counts; no word is empty
@@ -61,7 +63,7 @@ _LEAST_BATCH = 128  # few pairs are split into up to 64 steps of as many at leas
 _SCORED_TOKENS = 200_000
 _BLOCK = 1024  # symbols per row when parameters are averaged
 _SUMMED = 1 << 14  # targets whose scores are held at once for a normaliser
-_STOP_CONTEXTS = 1 << 14  # most frequent contexts after which held-out tokens decide when to stop
+_STOP_CONTEXTS = 1 << 14  # most frequent contexts after which tokens decide when to stop
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -155,7 +157,7 @@ def frequent(counts: DataFrame, top_words: int = TOP_WORDS, symbols: int | None
 # --- symbol numbers -----------------------------------------------------------------
 
 
-_CODED = f"{ROW_ID} bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_sum double, other_sum double, n_other bigint, ids binary, rare array<binary>"
+_CODED = "doc_id bigint, held_out boolean, judges boolean, n_tokens bigint, n_known bigint, base_sum double, other_sum double, n_other bigint, ids binary, rare array<binary>"
 
 
 def _to_bytes(ids: np.ndarray) -> bytes:
@@ -173,19 +175,19 @@ def _code(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator
     logs = np.append(np.log10(vocabulary.counts + 1.0), 0.0)  # the last: not a frequent word
     named, other, end = vocabulary.named, vocabulary.other, vocabulary.end
     end_log, missing = float(np.log10(vocabulary.ends + 1.0)), len(vocabulary.words)
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary(), pa.list_(pa.binary())]
-    for first, batch in row_ids(batches):
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary(), pa.list_(pa.binary())]
+    for batch in batches:
         rows = []
-        for i, text in enumerate(batch.column(2)):
+        for text in batch.column(3):
             words = words_of(text.as_py())
             at = np.array([number.get(w, missing) for w in words], np.int64)
             gain, unnamed = logs[at], at >= named
             rare = [words[j] for j in np.flatnonzero(at == missing)]
             ids = np.append(np.where(unnamed, other, at), end)
             known = len(words) - len(rare) + (vocabulary.ends > 0)
-            rows.append((first + i, len(words) + 1, known, float(gain.sum()) + end_log, float(gain[unnamed].sum()), int(unnamed.sum()), _to_bytes(ids), rare))
-        row, *others = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 8, kinds)]
-        yield pa.RecordBatch.from_arrays([row, batch.column(0), batch.column(1), *others], [ROW_ID, "doc_id", "held_out", "n_tokens", "n_known", "base_sum", "other_sum", "n_other", "ids", "rare"])
+            rows.append((len(words) + 1, known, float(gain.sum()) + end_log, float(gain[unnamed].sum()), int(unnamed.sum()), _to_bytes(ids), rare))
+        others = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 7, kinds)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), *others], ["doc_id", "held_out", "judges", "n_tokens", "n_known", "base_sum", "other_sum", "n_other", "ids", "rare"])
 
 
 # --- training -----------------------------------------------------------------------
@@ -364,13 +366,12 @@ def _symbol_scores(coded: DataFrame, model: Model, log_sums: np.ndarray) -> Data
 
 
 def train(coded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> tuple[Model, np.ndarray]:
-    """The model that scores the held-out texts best, and its normalisers.
+    """The model that scores the judging texts best, and its normalisers.
 
-    Without held-out texts it is the last one.
+    Without judging texts it is the last one.
     """
     counts = vocabulary.symbol_counts()
-    held_out = F.col("held_out")
-    lots = coded.filter(~held_out).select("ids").coalesce(max(1, round(np.sqrt(vocabulary.tokens / _COPY_TOKENS))))
+    lots = coded.filter("not held_out and not judges").select("ids").coalesce(max(1, round(np.sqrt(vocabulary.tokens / _COPY_TOKENS))))
     model, best, most, before = start(counts), None, -np.inf, -np.inf
     # numbers go by frequency; the class of other words and the end are the last two
     contexts = np.unique(np.append(np.arange(min(len(counts), _STOP_CONTEXTS)), [len(counts) - 2, len(counts) - 1]))
@@ -379,7 +380,7 @@ def train(coded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> tup
             sums = lots.mapInArrow(partial(_train, model=model, counts=counts, fan_in=256, turn=turn), "block int, part int, sums binary")
             model = average(sums, model)
         log_sums = normalisers(coded.sparkSession, model, contexts)
-        now = _symbol_scores(coded.filter(held_out), model, log_sums).agg(F.sum("symbol_score")).first()[0] or 0.0
+        now = _symbol_scores(coded.filter("judges"), model, log_sums).agg(F.sum("symbol_score")).first()[0] or 0.0
         if now >= most:
             best, most = model, now
         if turn > 1 and now < before:
@@ -395,10 +396,12 @@ def score(docs: DataFrame, modulus: int = 7, id_column="doc_id", text="text", to
     ``base_score`` (add-one unigram) and ``score``, both log10.
     """
     held_out = is_held_out(modulus, id_column)
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), held_out.alias("held_out"), F.col(text).cast("binary").alias("text"))
+    judges = is_held_out(modulus, id_column, JUDGES)
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), held_out.alias("held_out"), judges.alias("judges"), F.col(text).cast("binary").alias("text"))
     counts = count_words(rows.filter(~F.col("held_out")).select("text"))
     vocabulary = frequent(counts, top_words, symbols)
-    coded = land(rows.mapInArrow(partial(_code, vocabulary=vocabulary), _CODED), "coded")
+    coded = rows.mapInArrow(partial(_code, vocabulary=vocabulary), _CODED)
+    coded = land(coded.withColumn(ROW_ID, F.monotonically_increasing_id()), "coded")
 
     scored = _symbol_scores(coded, *train(coded, vocabulary, rounds))
 

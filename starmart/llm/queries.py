@@ -66,7 +66,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = exact_dedup.new_index(spark).add_batch(read(spark, sf_dir, "documents"))
+    rows = exact_dedup.deduplicate(read(spark, sf_dir, "documents"), exact_dedup.new_index(spark))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 

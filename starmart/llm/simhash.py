@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import ROW_ID, land, partitions, row_ids, with_row_id
+from starmart.llm.common import ROW_ID, identified, land, partitions
 from starmart.llm.components import components
 
 BITS = 64
@@ -72,18 +72,17 @@ def fingerprint(text: bytes | None, shingle_words: int = SHINGLE_WORDS, seed: in
 
 
 def _fingerprints(batches, shingle_words, seed):
-    for first, batch in row_ids(batches):
+    for batch in batches:
         texts = batch.column(1)
         prints = np.array([fingerprint(t.as_py(), shingle_words, seed) for t in texts], np.uint64)
-        rows = np.arange(first, first + batch.num_rows)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(prints.view(np.int64)), pa.array(rows)], ["doc_id", "print", ROW_ID]
+            [batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)], ["doc_id", "print", ROW_ID]
         )
 
 
 def fingerprints(docs: DataFrame, id_column="doc_id", text="text", shingle_words=SHINGLE_WORDS, seed=SEED) -> DataFrame:
-    """(doc_id, print, row id) for every document; written once."""
-    chosen = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    """(doc_id, print, row id) for every document of an identified table; written once."""
+    chosen = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"), ROW_ID)
     made = chosen.mapInArrow(
         partial(_fingerprints, shingle_words=shingle_words, seed=seed), f"doc_id bigint, print bigint, {ROW_ID} bigint"
     )
@@ -349,8 +348,12 @@ def _verify(rows: DataFrame, distance: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_column="doc_id", text="text", shingle_words=SHINGLE_WORDS, distance=DISTANCE, bucket_rows=BUCKET_ROWS) -> DataFrame:
     """One row per document: row id, id, ``print`` (signed), ``component_id``, ``kept``.
 
-    ``kept`` marks one document of each component: the least id, of equal ids the first read.
+    ``kept`` marks one document of each component: the least id, of equal ids the first by file and place.
     """
+    return _near_duplicates(identified(docs), id_column, text, shingle_words, distance, bucket_rows)
+
+
+def _near_duplicates(docs, id_column, text, shingle_words, distance, bucket_rows) -> DataFrame:
     marked = fingerprints(docs, id_column, text, shingle_words)
     id_order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW_ID)
     nodes = land(marked.groupBy("print").agg(F.min(id_order).alias("least")), "nodes")
@@ -370,8 +373,9 @@ def near_duplicates(docs: DataFrame, id_column="doc_id", text="text", shingle_wo
     )
 
 
-def drop_near_copies(docs: DataFrame, id_column="doc_id", text="text", **options) -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_column="doc_id", text="text", shingle_words=SHINGLE_WORDS, distance=DISTANCE, bucket_rows=BUCKET_ROWS) -> DataFrame:
     """One document of each component, with its own columns; the dropped ones are joined away."""
-    found = near_duplicates(docs, id_column, text, **options)
+    numbered = identified(docs)
+    found = _near_duplicates(numbered, id_column, text, shingle_words, distance, bucket_rows)
     dropped = land(found.filter("not kept").select(ROW_ID), "dropped")
-    return with_row_id(docs).join(dropped, ROW_ID, "left_anti").drop(ROW_ID)
+    return numbered.join(dropped, ROW_ID, "left_anti").select(*docs.columns)

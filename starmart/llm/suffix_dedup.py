@@ -14,13 +14,14 @@ smaller document, or earlier in the same one. Over a whole corpus this takes thr
    pick with more than ``hot`` segments is cut into single windows, dealt by content.
 3. The removed ranges are joined to the documents and cut out.
 
-The order of documents is their id, then their place in the table; a null id comes first.
+The order of documents is their id, then the name of their file and their place in it; a null
+id comes first.
 
 Defined results
     null text               counts as empty: nothing to remove
     shorter than a window   kept whole
     very long text          read in blocks that overlap, removed over its whole length
-    ties, repeated rows     rows with one id count as documents in the order they are read
+    ties, repeated rows     rows with one id count as documents in the order of their places
     empty table             empty result
     clashing extra columns  output columns replace columns of the same name
 """
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import ROW_ID, land, partitions, row_ids, with_row_id
+from starmart.llm.common import ROW_ID, identified, land, partitions
 
 LENGTH = 100
 GRAM = 32
@@ -126,8 +127,8 @@ def segments(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndar
 def _blocks(batches: Iterator[pa.RecordBatch], length: int):
     """(data, ends, [(doc, row, place in the text)]): texts side by side, long ones in pieces."""
     parts, marks, size = [], [], 0
-    for first, batch in row_ids(batches):
-        docs, texts = batch.column(0), batch.column(1)
+    for batch in batches:
+        docs, texts, numbers = batch.column(0), batch.column(1), batch.column(2).to_pylist()
         for i in range(batch.num_rows):
             text = texts[i].as_py() or b""
             if len(text) < length:
@@ -139,7 +140,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], length: int):
                     yield b"".join(parts), np.cumsum([len(p) for p in parts]), marks
                     parts, marks, size = [], [], 0
                 parts.append(piece)
-                marks.append((_NONE if doc is None else doc, first + i, start))
+                marks.append((_NONE if doc is None else doc, numbers[i], start))
                 size += len(piece)
     if parts:
         yield b"".join(parts), np.cumsum([len(p) for p in parts]), marks
@@ -390,11 +391,11 @@ def _whole_picks(rows: list[dict], most: int = 4096) -> Iterator[list[dict]]:
 def repeated_ranges(docs: DataFrame, id_column="doc_id", text="text", length=LENGTH, hot=HOT) -> DataFrame:
     """(row, start, end): byte ranges that lie in strings that also start earlier.
 
-    ``docs`` is read from files. Ranges of one document may overlap.
+    ``docs`` is an identified table. Ranges of one document may overlap.
     """
     n = partitions(docs.sparkSession)
     buckets = n * _BUCKETS
-    plain = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text).cast("binary").alias("text"))
+    plain = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text).cast("binary").alias("text"), ROW_ID)
     sent = plain.mapInArrow(partial(_local_segments, length=length, buckets=buckets), "bucket int, removed boolean, rows binary")
     met = sent.repartition(n, "bucket").sortWithinPartitions("bucket")
     decided = land(
@@ -406,7 +407,7 @@ def repeated_ranges(docs: DataFrame, id_column="doc_id", text="text", length=LEN
         .groupBy(F.col("row").alias(ROW_ID))
         .agg(F.collect_list(F.struct("doc", "start", "windows", "pick", "hot")).alias("open"))
     )
-    texts = with_row_id(docs.select(F.col(text).cast("binary").alias("text")))
+    texts = docs.select(ROW_ID, F.col(text).cast("binary").alias("text"))
     surroundings = texts.join(opened.hint("shuffle_hash"), ROW_ID).select(ROW_ID, "text", "open").mapInArrow(
         partial(_open_segments, length=length, buckets=buckets), "bucket int, pick bigint, doc bigint, row bigint, start bigint, bytes binary"
     )
@@ -451,10 +452,11 @@ def remove_repeats(docs: DataFrame, id_column="doc_id", text="text", length=LENG
     ``row`` holds the document's other columns. ``kept`` are the remaining bytes, joined; with
     ``as_text`` they are text, without characters that a cut has split.
     """
+    named = [c for c in docs.columns if c not in (text, ROW_ID)]
+    docs = identified(docs)
     ranges = repeated_ranges(docs, id_column, text, length, hot)
     grouped = ranges.groupBy(F.col("row").alias(ROW_ID)).agg(F.collect_list(F.struct("start", "end")).alias("__ranges"))
-    others = [c for c in docs.columns if c != text]
-    texts = with_row_id(docs.select(F.struct(*others).alias("row"), F.col(text).cast("binary").alias("__text")))
+    texts = docs.select(ROW_ID, F.struct(*named).alias("row"), F.col(text).cast("binary").alias("__text"))
     joined = texts.join(grouped.hint("shuffle_hash"), ROW_ID, "left").select("row", "__text", "__ranges")
     kind = "string" if as_text else "binary"
     return joined.mapInArrow(partial(_cut_out, as_text=as_text), T.StructType([joined.schema["row"], *T.StructType.fromDDL(f"n_bytes bigint, n_removed bigint, n_spans bigint, kept {kind}")]))

@@ -30,7 +30,7 @@ def test_stages(spark):
         if name == "quality rules":
             want = quality_rules.verdicts(quality_rules.measure(before)).filter("kept")
         elif name == "exact dedup":
-            want = exact_dedup.new_index(spark).add_batch(before).filter("kept")
+            want = exact_dedup.deduplicate(before, exact_dedup.new_index(spark)).filter("kept")
         elif name == "simhash near-dedup":
             want = simhash.near_duplicates(before).filter("kept")
         else:
