@@ -1,4 +1,13 @@
-"""From raw documents to packed training sequences, in stages that are each written."""
+"""From raw documents to packed training sequences, in stages that are each written.
+
+Defined results
+    null text               fails the quality rules
+    very long text          judged, hashed and cut whole; packed in several pieces
+    ties, repeated rows     one row of equal texts stays: the largest id, then the last by file and place
+    empty table             empty result
+    clashing extra columns  kept as they are up to packing; a column ``__row_id`` may not be named so
+    no ``n_chars``          nothing to bring up to date
+"""
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -21,13 +30,16 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose their repeated passages; ``n_chars`` follows the text."""
+    """Texts lose their repeated passages; ``n_chars``, if there, follows the text."""
     cut = suffix_dedup.cut_repeats(docs)
+    if "n_chars" not in docs.columns:
+        return cut
     return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Sequences with their tokens: ``ids`` are little-endian unsigned 32-bit integers."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
 
 
 STAGES = [
