@@ -32,24 +32,32 @@ def snapshot(
     """
     columns = history.columns
     is_open = F.col("valid_to").isNull()
-    old = history.filter(is_open).select(key, F.struct(*columns).alias("old"))
-    new = _opened(extract, run_at).select(key, F.struct(*columns).alias("new"))
+    change = compared(history.filter(is_open), _opened(extract, run_at).select(*columns), key, checked)
+    closed = F.col("old").withField("valid_to", local_time(run_at))
+    kept = F.when(F.col("closes"), closed).otherwise(F.col("old"))
+    opened = F.when(F.col("opens"), F.col("new"))
+    versions = (
+        change.select(F.explode(F.array(kept, opened)).alias("version"))
+        .filter(F.col("version").isNotNull())
+        .select("version.*")
+    )
+    return history.filter(~is_open).unionByName(versions)
+
+
+def compared(open_versions: DataFrame, extract: DataFrame, key: str, checked: tuple[str, ...]) -> DataFrame:
+    """One row per key: the open version ``old``, the extracted row ``new``, and whether the
+    one ``closes`` and the other ``opens``."""
+    old = open_versions.select(key, F.struct(*open_versions.columns).alias("old"))
+    new = extract.select(key, F.struct(*extract.columns).alias("new"))
     differs = reduce(
         lambda any_, c: any_ | ~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")),
         checked,
         F.lit(False),
     )
     known, seen = F.col("old").isNotNull(), F.col("new").isNotNull()
-    closed = F.col("old").withField("valid_to", local_time(run_at))
-    kept = F.when(known & seen & differs, closed).when(known, F.col("old"))
-    opened = F.when(seen & (~known | differs), F.col("new"))
-    versions = (
-        old.join(new, key, "full_outer")
-        .select(F.explode(F.array(kept, opened)).alias("version"))
-        .filter(F.col("version").isNotNull())
-        .select("version.*")
+    return old.join(new, key, "full_outer").select(
+        "old", "new", (known & seen & differs).alias("closes"), (seen & (~known | differs)).alias("opens")
     )
-    return history.filter(~is_open).unionByName(versions)
 
 
 def from_native_history(staged: DataFrame, open_end: datetime) -> DataFrame:

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart import schemas
+from starmart import published, schemas
 from starmart.fixed_values import EXPORT_COLUMNS, UNKNOWN_PRODUCT_ID
 from starmart.functions.calendar import local_time
-from starmart.operators import asof, ordering, quality, scd2, staging, upsert
+from starmart.operators import asof, ordering, quality, redo, scd2, staging, upsert
+from starmart.operators.history import History
 from starmart.operators.latest import latest_by_key
 from starmart.operators.skew import join_spread
 from starmart.plans import dimensions, fact, inputs, reports
@@ -438,29 +439,53 @@ def incremental_delta(spark, d):
     return upsert.newer_than(_items(spark, d), mark)
 
 
+def _monthly(fact: DataFrame) -> DataFrame:
+    return fact.withColumn("order_month", F.trunc("order_date_day", "month"))
+
+
 def _apply(path: str, delta: DataFrame, **options) -> None:
     """Upsert into a fact kept by month (the tables are small for one folder per day)."""
-    monthly = delta.withColumn("order_month", F.trunc("order_date_day", "month"))
-    upsert.upsert_partitions(path, monthly, partition_by="order_month", **options)
+    upsert.upsert_partitions(path, _monthly(delta), partition_by="order_month", **options)
+
+
+def _published(spark, path: str, like: DataFrame) -> DataFrame:
+    """The columns of the published fact, ``like`` a delta of it."""
+    return published.read(spark, path, _monthly(like).schema).select(*schemas.FACT_COLUMNS)
 
 
 @query
 def fact_incremental(spark, d):
     """First load, then the second extract applied by month; the written table."""
     path = new_path(spark, "fact_incremental")
-    _apply(path, _first_load(spark, d))
-    _apply(path, _second_delta(spark, d, spark.read.parquet(path)))
-    return spark.read.parquet(path).select(*schemas.FACT_COLUMNS)
+    first = _first_load(spark, d)
+    _apply(path, first)
+    _apply(path, _second_delta(spark, d, _published(spark, path, first)))
+    return _published(spark, path, first)
 
 
 @query
 def fact_merge(spark, d):
     """The same two loads with the column-subset merge."""
     path = new_path(spark, "fact_merge")
-    _apply(path, _first_load(spark, d))
-    delta = _second_delta(spark, d, spark.read.parquet(path))
+    first = _first_load(spark, d)
+    _apply(path, first)
+    delta = _second_delta(spark, d, _published(spark, path, first))
     _apply(path, delta, merge=upsert.merge_columns)
-    return spark.read.parquet(path).select(*schemas.FACT_COLUMNS)
+    return _published(spark, path, first)
+
+
+@query
+def fact_rerated(spark, d):
+    """The fact of all lines, loaded with every second rate missing; then the late rates arrive
+    and the lines they change are redone."""
+    path, rates = new_path(spark, "fact_rerated"), _rates(spark, d)
+    early = land(rates.filter(F.dayofyear("rate_date") % 2 == 0), "early_rates")
+    first = _fact(spark, d, rates=early)
+    _apply(path, first)
+    month = F.trunc("_day", "month")
+    late = redo.lines_to_rerate(path, _monthly(first).schema, early, rates, "order_month", month)
+    _apply(path, late)
+    return _published(spark, path, first)
 
 
 @query
@@ -480,8 +505,10 @@ def schema_sync(spark, d):
 def _two_snapshots(spark, d):
     first = staging.stg_products(inputs.raw_products(spark, d))
     second = staging.stg_products(inputs.second_raw_products(spark, d))
-    history = scd2.first_snapshot(first, inputs.FIRST_EXTRACT_AT)
-    return scd2.snapshot(history, second, inputs.SECOND_EXTRACT_AT)
+    log = History(spark, new_path(spark, "product_history"), first.schema)
+    log.add(first, inputs.FIRST_EXTRACT_AT)
+    log.add(second, inputs.SECOND_EXTRACT_AT)
+    return log.versions()
 
 
 def _native_history(spark, d):
@@ -610,4 +637,4 @@ def stream_fact_upsert(spark, d):
         start_fact_upserts(
             raw_items, orders, rates, products, partial(_apply, path), checkpoint
         ).awaitTermination()
-    return spark.read.parquet(path).select(*schemas.FACT_COLUMNS)
+    return _published(spark, path, _first_load(spark, d))

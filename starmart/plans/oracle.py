@@ -486,6 +486,7 @@ _BODIES = {
         left join (select * from fact where _loaded_at = {_BATCH_1}) old
           on old.order_item_id = new.order_item_id)
         select {_FACT_COLUMNS} from merged""",
+    "fact_rerated": f"select {_FACT_COLUMNS} from fact",
     "schema_sync": f"""
         select order_item_id, order_id, product_id, cast(quantity as bigint) as quantity,
                cast(unit_price as double) as unit_price, currency, is_valid_currency,

@@ -11,16 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart import published
 from starmart.fixed_values import CALENDAR_FIRST_DAY, CALENDAR_LAST_DAY, EXPORT_COLUMNS
 from starmart.operators import staging
+from starmart.operators.history import History
 from starmart.operators.quality import exceptions, raise_on_failure, run_tests
-from starmart.operators.scd2 import first_snapshot, snapshot
-from starmart.operators.upsert import finish_load, high_water_mark, newer_than, upsert_partitions
+from starmart.operators.redo import lines_of_new_products, lines_to_rerate
+from starmart.operators.upsert import high_water_mark, loaded_until, newer_than, upsert_partitions
 from starmart.plans import dimensions, reports
 from starmart.plans.fact import fact_order_items
 from starmart.schemas import AMOUNT, AMOUNT_USD, PRICE, RATE
 from starmart.sources.sinks import write_report_csv
-from starmart.storage import land, path_exists, write_clustered
+from starmart.storage import land, write_clustered
 
 FACT_SCHEMA = T.StructType(
     [
@@ -59,29 +61,19 @@ class Warehouse:
         return self.spark.read.parquet(self.path("marts", table))
 
     def fact(self) -> DataFrame:
-        return self.spark.read.schema(FACT_SCHEMA).parquet(self.path("marts", "fact_order_items"))
+        """The fact as last published, whatever a load is writing now."""
+        return published.read(self.spark, self.path("marts", "fact_order_items"), FACT_SCHEMA)
 
 
 def take_snapshot(wh: Warehouse, products: DataFrame, run_at: datetime) -> DataFrame:
-    """Product history after this extract, written beside the earlier runs.
+    """Product history after this extract; only what changed is written.
 
-    A run reads the newest history before it and never touches that copy, so a rerun
-    with the same ``run_at`` gives the same table.
+    A run compares with the runs before it, so a rerun with the same ``run_at`` gives the
+    same table.
     """
-    base = wh.path("snapshots", "products")
-    path = f"{base}/as_of={run_at:%Y%m%d%H%M%S}"
-    earlier = _latest_before(wh, base, run_at)
-    history = snapshot(earlier, products, run_at) if earlier else first_snapshot(products, run_at)
-    history.write.mode("overwrite").parquet(path)
-    return wh.spark.read.parquet(path)
-
-
-def _latest_before(wh: Warehouse, base: str, run_at: datetime) -> DataFrame | None:
-    if not path_exists(wh.spark, base):
-        return None
-    runs = wh.spark.read.parquet(base).filter(F.col("as_of") < int(f"{run_at:%Y%m%d%H%M%S}"))
-    newest = runs.agg(F.max("as_of")).first()[0]
-    return None if newest is None else runs.filter(F.col("as_of") == newest).drop("as_of")
+    log = History(wh.spark, wh.path("snapshots", "products"), products.schema)
+    log.add(products, run_at)
+    return log.versions(run_at)
 
 
 def load_fact(
@@ -92,17 +84,34 @@ def load_fact(
     products: DataFrame,
     since: datetime | None = None,
 ) -> None:
-    """Upsert the lines loaded after the target's newest stamp, or after ``since``.
+    """Upsert the lines loaded after the newest stamp ever loaded, or after ``since``, and the
+    lines that late rates and late products change.
 
-    A load that broke off half-way is finished before the stamp is read, so the stamp
-    never stands for lines that are not there.
+    The stamp is published with the lines, so it never stands for lines that are not there.
+    The rates and products of a load are published after its lines: a load that breaks off in
+    between is compared with older ones the next time, and the same lines are redone.
     """
     path = wh.path("marts", "fact_order_items")
-    finish_load(wh.spark, path)
-    if path_exists(wh.spark, path):
-        mark = since or high_water_mark(wh.fact()).first()[0]
-        items = newer_than(items, mark)
-    upsert_partitions(path, fact_order_items(items, orders, rates, products))
+    known_rates, known_products = (wh.path("marts", f"_loaded_with_{n}") for n in ("rates", "products"))
+    rerated = None
+    if published.versions(wh.spark, path):
+        mark = since or loaded_until(wh.spark, path) or high_water_mark(wh.fact()).first()[0]
+        due = newer_than(items, mark)
+        if published.versions(wh.spark, known_products):
+            before = published.read(wh.spark, known_products, products.schema)
+            moved = lines_of_new_products(items, before, products)
+            due = due.unionByName(moved.join(due.select("order_item_id"), "order_item_id", "left_anti").select(*items.columns))
+        if published.versions(wh.spark, known_rates):
+            before = published.read(wh.spark, known_rates, rates.schema)
+            rerated = lines_to_rerate(path, FACT_SCHEMA, before, rates)
+        items = due
+    delta = fact_order_items(items, orders, rates, products)
+    if rerated is not None:
+        others = rerated.join(items.select("order_item_id"), "order_item_id", "left_anti")
+        delta = delta.unionByName(others.select(*delta.columns))
+    upsert_partitions(path, delta)
+    published.replace_all(rates, known_rates)
+    published.replace_all(products, known_products)
 
 
 def build(

@@ -62,17 +62,21 @@ def write_clustered(
     cluster_by: tuple[str, ...],
     spread_by: str,
     mode: str = "errorifexists",
+    size: tuple[int, int] | None = None,
 ) -> None:
-    """Write a landed table as one directory per ``partition_by`` value, clustered inside.
+    """Write a table as one directory per ``partition_by`` value, clustered inside.
 
     The shuffle is by range over partition, cluster columns and the unique ``spread_by``,
     so a day that holds a third of all rows becomes many tasks and files, and every file
     covers a narrow product range that row-group statistics can skip. The number of
     tasks follows from the number of rows, so a small delta does not make small files
-    and a large backfill does not make large tasks.
+    and a large backfill does not make large tasks. ``size`` gives rows and directories, if
+    the caller knows about how many; otherwise both are counted.
     """
-    size = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(partition_by).alias("dirs"))
-    rows, dirs = size.first()
+    if size is None:
+        counted = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(partition_by).alias("dirs"))
+        size = tuple(counted.first())
+    rows, dirs = size
     parallel = df.sparkSession.sparkContext.defaultParallelism
     tasks = max(-(-rows // ROWS_PER_TASK), min(parallel, dirs), 1)
     order = [partition_by, *cluster_by, spread_by]
@@ -87,28 +91,17 @@ def write_clustered(
     )
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of a name."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, hadoop_path = _file_system(spark, path)
+    files, hadoop_path = file_system(spark, path)
     return files.exists(hadoop_path)
 
 
-def drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
-    """Remove one partition directory (a dynamic overwrite cannot write an empty one)."""
-    name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-    delete(spark, f"{path}/{column}={name}")
-
-
-def create_marker(spark: SparkSession, path: str) -> None:
-    """An empty file; it is there or not, never in part."""
-    files, hadoop_path = _file_system(spark, path)
-    files.create(hadoop_path, True).close()
-
-
 def delete(spark: SparkSession, path: str) -> None:
-    files, hadoop_path = _file_system(spark, path)
+    files, hadoop_path = file_system(spark, path)
     files.delete(hadoop_path, True)

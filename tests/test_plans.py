@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart.operators.quality import is_exception
+from starmart import published
 from starmart.operators.upsert import newer_than, upsert_partitions
 from starmart.plans import catalog, reports
 from tests.conftest import BATCH_1
@@ -66,6 +67,6 @@ def test_days_are_pruned_by_directory(spark, fact, tmp_path):
     path = str(tmp_path / "by_day")
     upsert_partitions(path, fact.filter(F.year("order_date_day") == 1998))
     week = F.col("order_date_day").between(F.lit("1998-01-05"), F.lit("1998-01-11"))
-    text = plan(spark.read.parquet(path).filter(week))
+    text = plan(published.read(spark, path, fact.schema).filter(week))
     assert re.search(r"PartitionFilters: \[.*order_date_day.*1998-01-05", text)
 

@@ -1,12 +1,14 @@
 from datetime import datetime
 from functools import partial
 
+from starmart import published
 from starmart.operators import staging
 from starmart.operators.latest import latest_by_key
 from starmart.operators.scd2 import first_snapshot
 from starmart.operators.upsert import upsert_partitions
 from starmart.plans.dimensions import dim_products
 from starmart.plans.fact import fact_order_items
+from starmart.plans.warehouse import FACT_SCHEMA
 from starmart.streaming.change_stream import start_landing
 from starmart.streaming.fact_stream import start_fact_upserts
 from tests.conftest import BATCH_1, BATCH_2, as_rows, raw_items, raw_orders, raw_products, raw_rates
@@ -38,7 +40,7 @@ def test_stream_equals_batch(spark, tmp_path):
         ).awaitTermination()
     final = raw_items(spark, [batches[1][0], batches[0][1], batches[1][2]])
     expected = fact_order_items(staging.stg_order_items(final), orders, rates, products)
-    assert as_rows(spark.read.parquet(path), *expected.columns) == as_rows(expected)
+    assert as_rows(published.read(spark, path, expected.schema)) == as_rows(expected)
 
 
 def test_late_rows_and_late_orders(spark, tmp_path):
@@ -62,7 +64,7 @@ def test_late_rows_and_late_orders(spark, tmp_path):
         start_fact_upserts(
             stream, orders, rates, products, partial(upsert_partitions, path), state
         ).awaitTermination()
-    lines = spark.read.parquet(path).select("order_item_id", "quantity")
+    lines = published.read(spark, path, FACT_SCHEMA).select("order_item_id", "quantity")
     assert as_rows(lines) == [(1, 5), (2, 1), (3, 1), (4, 1)]
 
 
