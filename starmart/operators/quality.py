@@ -19,10 +19,19 @@ from starmart.fixed_values import (
 @dataclass(frozen=True)
 class DataTest:
     model: str
-    column: str
+    column: str  # unique: one column, or several of which some may be NULL ("a, b")
     kind: str  # not_null | unique | always_true | relationship
     severity: str = "error"  # error stops a build, warn only reports
     parent: str | None = None  # relationship: the model that must hold the value
+    where: str | None = None  # unique: the boolean column that marks the rows in question
+
+    @property
+    def key(self) -> list[str]:
+        return self.column.split(", ")
+
+    @property
+    def label(self) -> str:
+        return f"{self.column} where {self.where}" if self.where else self.column
 
 
 def _tests(kind: str, *columns: str, **options) -> list[DataTest]:
@@ -64,6 +73,8 @@ MODEL_TESTS = (
         "dim_time_of_day.hour_of_day",
         "fact_order_items.order_item_id",
     ),
+    *_tests("unique", "dim_products.product_id, valid_from"),
+    *_tests("unique", "dim_products.product_id", where="is_current"),
     *_tests(
         "always_true",
         "stg_orders.is_valid_currency",
@@ -77,21 +88,30 @@ MODEL_TESTS = (
 
 
 def run_tests(
-    tables: dict[str, DataFrame], tests: Iterable[DataTest] = MODEL_TESTS
+    tables: dict[str, DataFrame],
+    tests: Iterable[DataTest] = MODEL_TESTS,
+    touched: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """One row per test with its number of failing rows (keys, for ``unique``).
 
     All row-wise tests of a model share one pass. ``unique`` and ``relationship`` count
     per value before anything is compared, so a frequent value is one row by then.
+
+    ``touched`` names the rows of a model that a load has written since the model was last
+    tested. Only these rows are tested, and their keys are looked for among all others: what
+    passed before and was not written cannot fail now, as long as parents lose no key.
     """
-    tests = list(tests)
+    tests, touched = list(tests), touched or {}
+    rows = tables | touched
     results = [
         _row_tests(model, df, [t for t in tests if t.model == model])
-        for model, df in tables.items()
+        for model, df in rows.items()
+    ]
+    results += [
+        _unique_test(tables[t.model], t, touched.get(t.model)) for t in tests if t.kind == "unique"
     ]
-    results += [_unique_test(tables[t.model], t) for t in tests if t.kind == "unique"]
     results += [
-        _relationship_test(tables[t.model], tables[t.parent], t)
+        _relationship_test(rows[t.model], tables[t.parent], t)
         for t in tests
         if t.kind == "relationship"
     ]
@@ -113,7 +133,7 @@ def raise_on_failure(results: DataFrame) -> None:
 def _labels(test: DataTest) -> list[Column]:
     return [
         F.lit(test.model).alias("model"),
-        F.lit(test.column).alias("column_name"),
+        F.lit(test.label).alias("column_name"),
         F.lit(test.kind).alias("test"),
         F.lit(test.severity).alias("severity"),
     ]
@@ -138,13 +158,19 @@ def _row_tests(model: str, df: DataFrame, tests: list[DataTest]) -> DataFrame |
     return counts.select(F.inline("counts"))
 
 
-def _unique_test(df: DataFrame, test: DataTest) -> DataFrame:
-    repeated = (
-        df.filter(F.col(test.column).isNotNull())
-        .groupBy(test.column)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") > 1)
-    )
+def _unique_test(df: DataFrame, test: DataTest, touched: DataFrame | None = None) -> DataFrame:
+    def keys(rows: DataFrame) -> DataFrame:
+        rows = rows.filter(test.where) if test.where else rows
+        return rows.filter(F.col(test.column).isNotNull()) if len(test.key) == 1 else rows
+
+    rows = keys(df)
+    if touched is not None and len(test.key) == 1:
+        mine = keys(touched).select(test.column).distinct()
+        span = mine.agg(F.min(test.column), F.max(test.column)).first()
+        # the range of the keys reaches the scan; growing ids skip all older row groups
+        in_range = F.col(test.column).between(F.lit(span[0]), F.lit(span[1]))
+        rows = rows.filter(in_range).select(test.column).join(mine, test.column, "left_semi")
+    repeated = rows.groupBy(*test.key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
     return repeated.agg(F.count(F.lit(1)).alias("failures")).select(*_labels(test), "failures")
 
 

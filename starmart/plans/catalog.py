@@ -569,7 +569,7 @@ def dq_tests(spark, d):
             "stg_products": staging.stg_products(inputs.raw_products(spark, d)),
             "stg_fx_rates": rates,
             "dim_customers": dimensions.dim_customers(customers),
-            "dim_products": _products(spark, d),
+            "dim_products": land(dimensions.dim_products(_two_snapshots(spark, d)), "dim_products"),
             "dim_date": dimensions.dim_date(spark, span.first.date(), span.last.date()),
             "dim_time_of_day": dimensions.dim_time_of_day(spark),
             "fact_order_items": _landed_fact(spark, d, rates),

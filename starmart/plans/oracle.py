@@ -272,6 +272,12 @@ def _twice(model: str, source: str, column: str) -> str:
          group by 1 having count(*) > 1)"""
 
 
+def _versions_twice(label: str, where: str, *columns: str) -> str:
+    return f"""select 'dim_products', '{label}', 'unique', 'error', count(*) from
+        (select 1 from ({_product_dimension(_HISTORY)}) where {where}
+         group by {", ".join(columns)} having count(*) > 1)"""
+
+
 def _untrue(model: str, source: str, column: str) -> str:
     return f"""select '{model}', '{column}', 'always_true', 'warn', count(*) from {source}
         where not {column}"""
@@ -305,6 +311,8 @@ _TESTS = f"""
     union all {_null("dim_customers", "stg_cust", "customer_id")}
     union all {_twice("dim_customers", "stg_cust", "customer_id")}
     union all {_null("dim_products", _PRODUCT_KEYS, "product_id")}
+    union all {_versions_twice("product_id, valid_from", "true", "product_id", "valid_from")}
+    union all {_versions_twice("product_id where is_current", "is_current and product_id is not null", "product_id")}
     union all {_null("dim_date", _DAYS, "date_day")}
     union all {_twice("dim_date", _DAYS, "date_day")}
     union all {_null("dim_time_of_day", "hours", "hour_of_day")}

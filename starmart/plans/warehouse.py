@@ -83,13 +83,14 @@ def load_fact(
     rates: DataFrame,
     products: DataFrame,
     since: datetime | None = None,
-) -> None:
+) -> DataFrame:
     """Upsert the lines loaded after the newest stamp ever loaded, or after ``since``, and the
     lines that late rates and late products change.
 
     The stamp is published with the lines, so it never stands for lines that are not there.
     The rates and products of a load are published after its lines: a load that breaks off in
-    between is compared with older ones the next time, and the same lines are redone.
+    between is compared with older ones the next time, and the same lines are redone. Returns
+    the rows of the partitions that the load has written.
     """
     path = wh.path("marts", "fact_order_items")
     known_rates, known_products = (wh.path("marts", f"_loaded_with_{n}") for n in ("rates", "products"))
@@ -109,9 +110,12 @@ def load_fact(
     if rerated is not None:
         others = rerated.join(items.select("order_item_id"), "order_item_id", "left_anti")
         delta = delta.unionByName(others.select(*delta.columns))
-    upsert_partitions(path, delta)
+    before = published.manifest(wh.spark, path)
+    after = upsert_partitions(path, delta)
     published.replace_all(rates, known_rates)
     published.replace_all(products, known_products)
+    written = [n for n, load in after.folders.items() if before.folders.get(n) != load]
+    return published.read(wh.spark, path, FACT_SCHEMA, after.only(written))
 
 
 def build(
@@ -120,10 +124,12 @@ def build(
     run_at: datetime,
     since: datetime | None = None,
     calendar: tuple[date, date] = (CALENDAR_FIRST_DAY, CALENDAR_LAST_DAY),
+    test_all: bool = False,
 ) -> DataFrame:
     """One run over raw extracts; returns the data tests and raises if one fails.
 
-    ``calendar`` holds the first and last day of the date dimension.
+    ``calendar`` holds the first and last day of the date dimension. The fact is tested where
+    the run has written it, or with ``test_all`` as a whole.
     """
     customers = staging.stg_customers(raw["raw_customers"])
     orders = staging.stg_orders(raw["raw_orders"])
@@ -136,7 +142,7 @@ def build(
     _replace(wh, "dim_customers", dimensions.dim_customers(customers))
     _replace(wh, "dim_date", dimensions.dim_date(wh.spark, *calendar))
     _replace(wh, "dim_time_of_day", dimensions.dim_time_of_day(wh.spark))
-    load_fact(wh, items, orders, rates, wh.mart("dim_products"), since)
+    written = load_fact(wh, items, orders, rates, wh.mart("dim_products"), since)
 
     tests = run_tests(
         {
@@ -150,7 +156,8 @@ def build(
             "dim_date": wh.mart("dim_date"),
             "dim_time_of_day": wh.mart("dim_time_of_day"),
             "fact_order_items": wh.fact(),
-        }
+        },
+        touched=None if test_all else {"fact_order_items": written},
     )
     results = land(tests, "data_tests")
     raise_on_failure(results)

@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.schemas import FX_RESPONSES, RAW_TABLES
+from starmart.storage import land
+
+_REJECTED = "_rejected"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -20,14 +23,44 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType, rejects: str) -> DataFrame:
+    """Rows that parse; the others go to the table ``rejects`` with their file and their line.
+
+    The file is parsed once and written, with all its columns, so what counts as malformed does
+    not depend on the columns that a reader asks for. A rerun replaces the rejects.
+    """
+    kept = T.StructType([*schema.fields, T.StructField(_REJECTED, T.StringType())])
+    parsed = land(
+        spark.read.schema(kept)
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _REJECTED)
+        .option("enforceSchema", False)
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+        .option("dateFormat", "yyyy-MM-dd")
+        .csv(path)
+        .withColumn("file", F.col("_metadata.file_path")),
+        "parsed",
+    )
+    bad = parsed.filter(F.col(_REJECTED).isNotNull())
+    bad.select("file", F.col(_REJECTED).alias("line")).write.mode("overwrite").parquet(rejects)
+    return parsed.filter(F.col(_REJECTED).isNull()).select(*schema.names)
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def read_raw(spark: SparkSession, root: str, table: str, extract: str | None = None) -> DataFrame:
+def read_raw(
+    spark: SparkSession, root: str, table: str, extract: str | None = None, rejects: str | None = None
+) -> DataFrame:
     """Read one raw table; ``extract`` names another extract with the same contract,
-    for instance the first batch instead of the full one."""
-    return read_csv(spark, f"{root}/{extract or table}.csv", RAW_TABLES[table])
+    for instance the first batch instead of the full one. With ``rejects``, rows that do not
+    parse are written to ``rejects/<extract>`` instead of ending the job."""
+    path = f"{root}/{extract or table}.csv"
+    if rejects:
+        return read_csv_with_rejects(spark, path, RAW_TABLES[table], f"{rejects}/{extract or table}")
+    return read_csv(spark, path, RAW_TABLES[table])
 
 
 def read_fx_responses(spark: SparkSession, path: str) -> DataFrame:

@@ -36,7 +36,7 @@ def warehouse(spark, tmp_path_factory):
     results = build(wh, raw(spark), RUN_2)
     assert wh.fact().count() == 363
     statuses = [r.status for r in results.collect()]
-    assert sorted(statuses) == ["pass"] * 29 + ["warn"] * 3
+    assert sorted(statuses) == ["pass"] * 31 + ["warn"] * 3
     return wh
 
 
