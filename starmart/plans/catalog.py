@@ -24,6 +24,7 @@ from starmart.sources import landing, readers
 from starmart.storage import land, new_path
 from starmart.streaming.change_stream import start_landing
 from starmart.streaming.fact_stream import start_fact_upserts
+from starmart.streaming.latest_stream import start_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -619,22 +620,61 @@ def landing_latest_by_key(spark, d):
     return latest_by_key(changes, "product_id", ["changed_at", "change_id"])
 
 
+def _in_runs(spark, runs: dict[str, list[DataFrame]]):
+    """Write the next part of each table beside the earlier ones; yields a stream per table."""
+    paths = {name: new_path(spark, name) for name in runs}
+    for parts in zip(*runs.values()):
+        for part, path in zip(parts, paths.values()):
+            part.write.mode("append").parquet(path)
+        yield [
+            spark.readStream.schema(part.schema).parquet(path)
+            for part, path in zip(parts, paths.values())
+        ]
+
+
+@query
+def latest_stream_state(spark, d):
+    """All price changes streamed in two runs; each run sends the newest row of its products."""
+    changes = inputs.raw_product_changes(inputs.table(spark, d, "lineitem"))
+    is_late = F.col("change_id") % 3 == 0  # whatever its stamp
+    path, checkpoint = new_path(spark, "latest"), new_path(spark, "latest_state")
+
+    def load(rows: DataFrame) -> None:
+        bucketed = rows.withColumn("bucket", (F.col("product_id") % 16).cast("int"))
+        upsert.upsert_partitions(path, bucketed, "product_id", "bucket", (), stamp="changed_at")
+
+    for [stream] in _in_runs(spark, {"changes": [changes.filter(~is_late), changes.filter(is_late)]}):
+        start_latest(stream, "product_id", ["changed_at", "change_id"], load, checkpoint).awaitTermination()
+    return published.read(spark, path, changes.schema)
+
+
 @query
 def stream_fact_upsert(spark, d):
-    """Two landings of raw lines streamed into the fact; the second corrects some."""
-    landed, path = new_path(spark, "raw_items"), new_path(spark, "fact_stream")
-    first = inputs.raw_order_items(spark, d).filter(
+    """Raw lines and orders streamed into the fact in three runs.
+
+    The second run corrects some lines and brings some lines of the first batch late, with
+    their old stamp; the third has no lines, only the orders that were missing.
+    """
+    path, checkpoint = new_path(spark, "fact_stream"), new_path(spark, "fact_stream_state")
+    all_first = inputs.raw_order_items(spark, d).filter(
         F.col("_loaded_at") == local_time(inputs.BATCH_1_LOADED_AT)
     )
+    is_late, is_missing = F.col("product_id") % 7 == 3, F.col("id") % 11 == 4
+    first = all_first.filter(~is_late)
     second = inputs.redelivered_items(spark, d).filter(
         F.col("_loaded_at") > local_time(inputs.BATCH_1_LOADED_AT)
     )
-    orders, rates, products = _orders(spark, d), _rates(spark, d), _products(spark, d)
-    checkpoint = new_path(spark, "fact_stream_state")
-    for batch in (first, second):
-        batch.write.mode("append").parquet(landed)
-        raw_items = spark.readStream.schema(first.schema).parquet(landed)
+    second = second.unionByName(all_first.filter(is_late))
+    orders, rates, products = inputs.raw_orders(spark, d), _rates(spark, d), _products(spark, d)
+    landing = {
+        "raw_items": [first, second, first.filter("false")],
+        "raw_orders": [orders.filter(~is_missing), orders.filter("false"), orders.filter(is_missing)],
+    }
+    known = staging.stg_orders(orders.filter("false"))
+    for run, (items, arriving) in enumerate(_in_runs(spark, landing)):
+        if run:
+            known = staging.stg_orders(orders.filter(~is_missing))
         start_fact_upserts(
-            raw_items, orders, rates, products, partial(_apply, path), checkpoint
+            items, known, rates, products, partial(_apply, path), checkpoint, arriving
         ).awaitTermination()
     return _published(spark, path, _first_load(spark, d))

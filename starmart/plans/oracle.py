@@ -546,6 +546,13 @@ _BODIES = {
                      l_shipdate as changed_at, {_LINE_ID} as change_id from lineitem)
         qualify row_number() over (partition by product_id
                                    order by changed_at desc, change_id desc) = 1""",
+    "latest_stream_state": f"""
+        select product_id, cast(price as double) as price, changed_at, change_id,
+               last_day(changed_at) as extracted_at
+        from (select l_partkey as product_id, cast(l_extendedprice as decimal(10,2)) as price,
+                     l_shipdate as changed_at, {_LINE_ID} as change_id from lineitem)
+        qualify row_number() over (partition by product_id
+                                   order by changed_at desc, change_id desc) = 1""",
     "stream_fact_upsert": f"{_AFTER_TWO_LOADS} select {_FACT_COLUMNS} from fact_2",
 }
 
