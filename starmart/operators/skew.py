@@ -12,13 +12,14 @@ ROW_OVERHEAD_BYTES = 32
 
 _FIXED_WIDTHS = {"boolean": 1, "int": 4, "date": 4, "bigint": 8, "timestamp_ntz": 8, "decimal": 16}
 
-def find_hot_keys(df: DataFrame, keys: list[str]) -> list[int]:
-    """Hashes of the keys that would overfill a shuffle partition.
+def find_hot_keys(df: DataFrame, keys: list[str]) -> dict[int, int]:
+    """Hashes of the keys that would overfill a shuffle partition, each with its number of parts.
 
     One pass over the key columns with a bounded sketch, merged map-side. A key counts
-    as hot from half an average partition on, so there are at most two per partition. The
-    sketch tracks ten times as many. It only steers the layout; the join is exact whatever it
-    returns.
+    as hot from half an average partition on, so there are at most two per partition; it gets as
+    many parts as it has halves, so all parts together are at most four per partition, however
+    many keys are hot. The sketch tracks ten times as many keys. It only steers the layout; the
+    join is exact whatever it returns.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = 0.5 / partitions
@@ -31,7 +32,8 @@ def find_hot_keys(df: DataFrame, keys: list[str]) -> list[int]:
         )
         .first()
     )
-    return [k["item"] for k in row.top or [] if k["count"] > share * row.rows]
+    least = share * row.rows
+    return {k["item"]: -int(-k["count"] // least) for k in row.top or [] if k["count"] > least}
 
 
 def is_small(df: DataFrame) -> bool:
@@ -62,9 +64,10 @@ def join_spread(
     """Join a large ``left`` to a side with few rows per key.
 
     A provably small ``right`` is broadcast: no shuffle, so no skew. Otherwise rows of
-    hot keys are cut into as many parts as the shuffle has partitions, by a hash of
+    hot keys are cut into parts of about half a shuffle partition, by a hash of
     ``spread_by`` (columns that differ between rows of one key, so a retried task picks
-    the same part); parts are hashed to partitions, a few of which get several. Only the hot rows of ``right`` are repeated. ``residual`` is a
+    the same part); parts are hashed to partitions, a few of which get several. Only the hot
+    rows of ``right`` are repeated, once per part of their key. ``residual`` is a
     further condition over columns of both sides. ``hot_in`` is a cheaper frame with the
     same keys to look for hot ones in, if ``left`` is itself the result of a join.
     """
@@ -73,14 +76,16 @@ def join_spread(
     if is_small(right):
         right = F.broadcast(right)
     elif hot := find_hot_keys(left if hot_in is None else hot_in, keys):
-        buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        is_hot = F.xxhash64(*keys).isin(hot)
-        salt = F.pmod(F.xxhash64(*spread_by), F.lit(buckets)).cast("int")
-        every_salt = F.sequence(F.lit(0), F.lit(buckets - 1))
-        left = left.withColumn("_salt", F.when(is_hot, salt).otherwise(0))
-        right = right.withColumn(
-            "_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0))))
-        )
+        # at most two rows per shuffle partition
+        parts = left.sparkSession.createDataFrame([*hot.items()], "_hot long, _parts int")
+
+        def with_parts(side: DataFrame) -> DataFrame:
+            return side.withColumn("_hot", F.xxhash64(*keys)).join(F.broadcast(parts), "_hot", "left")
+
+        salt = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int"))
+        salts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+        left = with_parts(left).withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_hot", "_parts")
+        right = with_parts(right).withColumn("_salt", F.explode(salts)).drop("_hot", "_parts")
         keys = [*keys, "_salt"]
     if residual is None:
         return left.join(right, keys, how).drop("_salt")

@@ -440,23 +440,27 @@ def incremental_delta(spark, d):
     return upsert.newer_than(_items(spark, d), mark)
 
 
-def _monthly(fact: DataFrame) -> DataFrame:
-    return fact.withColumn("order_month", F.trunc("order_date_day", "month"))
+def _quarter(day: str):
+    return F.trunc(day, "quarter")
+
+
+def _by_quarter(fact: DataFrame) -> DataFrame:
+    return fact.withColumn("order_quarter", _quarter("order_date_day"))
 
 
 def _apply(path: str, delta: DataFrame, **options) -> None:
-    """Upsert into a fact kept by month (the tables are small for one folder per day)."""
-    upsert.upsert_partitions(path, _monthly(delta), partition_by="order_month", **options)
+    """Upsert into a fact kept by quarter (the tables are small for one folder per day)."""
+    upsert.upsert_partitions(path, _by_quarter(delta), partition_by="order_quarter", **options)
 
 
 def _published(spark, path: str, like: DataFrame) -> DataFrame:
     """The columns of the published fact, ``like`` a delta of it."""
-    return published.read(spark, path, _monthly(like).schema).select(*schemas.FACT_COLUMNS)
+    return published.read(spark, path, _by_quarter(like).schema).select(*schemas.FACT_COLUMNS)
 
 
 @query
 def fact_incremental(spark, d):
-    """First load, then the second extract applied by month; the written table."""
+    """First load, then the second extract applied by quarter; the written table."""
     path = new_path(spark, "fact_incremental")
     first = _first_load(spark, d)
     _apply(path, first)
@@ -483,8 +487,8 @@ def fact_rerated(spark, d):
     early = land(rates.filter(F.dayofyear("rate_date") % 2 == 0), "early_rates")
     first = _fact(spark, d, rates=early)
     _apply(path, first)
-    month = F.trunc("_day", "month")
-    late = redo.lines_to_rerate(path, _monthly(first).schema, early, rates, "order_month", month)
+    schema = _by_quarter(first).schema
+    late = redo.lines_to_rerate(path, schema, early, rates, "order_quarter", _quarter("_day"))
     _apply(path, late)
     return _published(spark, path, first)
 
@@ -675,6 +679,6 @@ def stream_fact_upsert(spark, d):
         if run:
             known = staging.stg_orders(orders.filter(~is_missing))
         start_fact_upserts(
-            items, known, rates, products, partial(_apply, path), checkpoint, arriving
+            items, known, rates, products, partial(_apply, path), checkpoint, arriving, 8
         ).awaitTermination()
     return _published(spark, path, _first_load(spark, d))

@@ -25,6 +25,7 @@ def start_fact_upserts(
     load: Callable[[DataFrame], None],
     checkpoint: str,
     raw_orders: DataFrame | None = None,
+    waiting_buckets: int = WAITING_BUCKETS,
 ) -> StreamingQuery:
     """Process everything that has landed, then stop.
 
@@ -38,7 +39,7 @@ def start_fact_upserts(
     buckets are not read. ``orders`` holds what has landed before. Without that stream all
     waiting lines are tried with every batch of lines.
     """
-    waiting = Waiting(raw_items.sparkSession, f"{checkpoint.rstrip('/')}-waiting")
+    waiting = Waiting(raw_items.sparkSession, f"{checkpoint.rstrip('/')}-waiting", waiting_buckets)
     tagged = raw_items.select(F.struct(*raw_items.columns).alias("line"))
     if raw_orders is not None:
         tagged = tagged.unionByName(

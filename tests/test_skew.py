@@ -25,8 +25,22 @@ def names(spark):
 
 def test_finds_the_hot_keys(spark, lines):
     hashes = {r[0] for r in spark.sql("select xxhash64(7L) union select xxhash64(null)").collect()}
-    assert set(find_hot_keys(lines, ["key"])) == hashes
-    assert find_hot_keys(spark.range(9000), ["id"]) == []
+    # a third of the rows are 2.7 halves of each of four partitions
+    assert find_hot_keys(lines, ["key"]) == dict.fromkeys(hashes, 3)
+    assert find_hot_keys(spark.range(9000), ["id"]) == {}
+
+
+def test_parts_follow_the_shares(spark):
+    """Many hot keys do not multiply: all parts together are at most four per partition."""
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    try:
+        many = spark.range(64_000).select((F.col("id") % 100).alias("key"))
+        parts = find_hot_keys(many, ["key"])
+        assert len(parts) == 100 and set(parts.values()) == {2}
+        one = spark.range(64_000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("key"))
+        assert list(find_hot_keys(one, ["key"]).values()) == [64]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
