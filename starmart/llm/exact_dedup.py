@@ -73,9 +73,10 @@ class DigestIndex:
         Returns one row per document: row id, id, digest, ``keep_id``, ``group_size`` (rows
         of the batch with this text) and ``kept``.
         """
-        return self._add(identified(docs), batch, id_column, text)
+        return _decided(*self._add(identified(docs), batch, id_column, text))
 
-    def _add(self, docs: DataFrame, batch: str, id_column: str, text: str) -> DataFrame:
+    def _add(self, docs: DataFrame, batch: str, id_column: str, text: str) -> tuple[DataFrame, DataFrame]:
+        """(rows with their digest, what holds for each digest), both written."""
         if not re.fullmatch(r"[A-Za-z0-9_-]+", batch):
             raise ValueError(f"batch name {batch!r}")
         rows = land(
@@ -100,11 +101,14 @@ class DigestIndex:
         known = old.select("digest", F.col("old_id").alias("keep_id"), F.lit(-1).cast("long").alias("keep_row"), "group_size")
         winners = land(fresh.unionByName(known), "winners")
         self.write(batch, fresh)
-        # both sides are read from files, so a digest with a third of the rows is split by AQE
-        joined = rows.join(winners, "digest")
-        return joined.select(
-            ROW_ID, "doc_id", "digest", "keep_id", "group_size", (F.col(ROW_ID) == F.col("keep_row")).alias("kept")
-        )
+        return rows, winners
+
+
+def _decided(rows: DataFrame, winners: DataFrame) -> DataFrame:
+    """Both sides are read from files, so a digest with a third of the rows is split by AQE."""
+    return rows.join(winners, "digest").select(
+        ROW_ID, "doc_id", "digest", "keep_id", "group_size", (F.col(ROW_ID) == F.col("keep_row")).alias("kept")
+    )
 
 
 def new_index(spark: SparkSession) -> DigestIndex:
@@ -132,10 +136,11 @@ def _deduplicate(docs: DataFrame, index: DigestIndex, id_column: str, text: str,
         mine = from_cut if above is None else from_cut & ~F.coalesce(above, F.lit(False))
         found.append(index._add(docs.filter(mine), f"{i:04d}", id_column, text))
         above = from_cut
-    rows = reduce(DataFrame.unionByName, found)
-    sizes = reduce(DataFrame.unionByName, [f.select("digest", "group_size") for f in found]).groupBy("digest")
-    sizes = sizes.agg(F.count(F.lit(1)).alias("group_size"))
-    return rows.drop("group_size").join(land(sizes, "sizes"), "digest")
+    # one row per digest and batch: a digest with a third of the documents is a few rows here
+    sizes = reduce(DataFrame.unionByName, [winners.select("digest", "group_size") for _, winners in found])
+    sizes = land(sizes.groupBy("digest").agg(F.sum("group_size").alias("group_size")), "sizes")
+    whole = [(rows, land(winners.drop("group_size").join(sizes, "digest"), "winners")) for rows, winners in found]
+    return reduce(DataFrame.unionByName, [_decided(*parts) for parts in whole])
 
 
 def drop_copies(docs: DataFrame, index: DigestIndex, id_column: str = "doc_id", text: str = "text") -> DataFrame:
