@@ -17,7 +17,7 @@ from starmart.operators import asof, ordering, quality, redo, scd2, staging, ups
 from starmart.operators.history import History
 from starmart.operators.latest import latest_by_key
 from starmart.operators.skew import join_spread
-from starmart.plans import dimensions, fact, inputs, reports
+from starmart.plans import dimensions, fact, inputs, kept_totals, reports
 from starmart.plans.fact import LINE_KEY
 from starmart.plans.warehouse import export_report
 from starmart.sources import landing, readers
@@ -493,6 +493,37 @@ def fact_rerated(spark, d):
     return _published(spark, path, first)
 
 
+def _kept_after_two_loads(spark, d, name: str) -> DataFrame:
+    """Totals by quarter, refreshed after each of the loads of ``fact_incremental``."""
+    path, kept = new_path(spark, name), new_path(spark, f"{name}_totals")
+    first = _first_load(spark, d)
+    _apply(path, first)
+    schema = _by_quarter(first).schema
+    kept_totals.refresh(spark, path, schema, kept, "order_quarter")
+    _apply(path, _second_delta(spark, d, _published(spark, path, first)))
+    kept_totals.refresh(spark, path, schema, kept, "order_quarter")
+    return kept_totals.read(spark, kept)
+
+
+@query
+def kept_top_products(spark, d):
+    kept = _kept_after_two_loads(spark, d, "kept_top_products")
+    return _rounded(kept_totals.top_products(kept, _products(spark, d)), 2, "revenue_usd")
+
+
+@query
+def kept_promo_time_of_day(spark, d):
+    kept = _kept_after_two_loads(spark, d, "kept_promo")
+    report = kept_totals.promo_time_of_day(kept, dimensions.dim_time_of_day(spark))
+    return _rounded(report, 2, "revenue_usd", "avg_order_value_usd")
+
+
+@query
+def kept_kpis(spark, d):
+    kept = _kept_after_two_loads(spark, d, "kept_kpis")
+    return _rounded(kept_totals.kpis(kept), 8, "flagged_line_rate")
+
+
 @query
 def schema_sync(spark, d):
     """First-batch lines without an amount column, given the later columns."""

@@ -332,6 +332,12 @@ _AFTER_TWO_LOADS = f"""
 , usd_2 as ({_in_usd("stg_lines_2", "stg_ord")}), fact_2 as ({_fact_of("usd_2")})
 """
 
+
+def _second_report(report: str) -> str:
+    """A report over the fact after both loads."""
+    return f"{_AFTER_TWO_LOADS} {report.replace('from fact', 'from fact_2')}"
+
+
 _BODIES = {
     "raw_scan_typed": """select id, order_id, product_id, cast(quantity as bigint) as quantity,
         cast(unit_price as double) as unit_price, currency, _loaded_at from raw_lines""",
@@ -495,6 +501,9 @@ _BODIES = {
           on old.order_item_id = new.order_item_id)
         select {_FACT_COLUMNS} from merged""",
     "fact_rerated": f"select {_FACT_COLUMNS} from fact",
+    "kept_top_products": _second_report(_TOP),
+    "kept_promo_time_of_day": _second_report(_PROMO),
+    "kept_kpis": _second_report(_KPIS),
     "schema_sync": f"""
         select order_item_id, order_id, product_id, cast(quantity as bigint) as quantity,
                cast(unit_price as double) as unit_price, currency, is_valid_currency,

@@ -18,7 +18,7 @@ from starmart.operators.history import History
 from starmart.operators.quality import exceptions, raise_on_failure, run_tests
 from starmart.operators.redo import lines_of_new_products, lines_to_rerate
 from starmart.operators.upsert import high_water_mark, loaded_until, newer_than, upsert_partitions
-from starmart.plans import dimensions, reports
+from starmart.plans import dimensions, kept_totals
 from starmart.plans.fact import fact_order_items
 from starmart.schemas import AMOUNT, AMOUNT_USD, PRICE, RATE
 from starmart.sources.sinks import write_report_csv
@@ -64,6 +64,10 @@ class Warehouse:
         """The fact as last published, whatever a load is writing now."""
         return published.read(self.spark, self.path("marts", "fact_order_items"), FACT_SCHEMA)
 
+    def totals(self) -> DataFrame:
+        """Totals per day, from which the reports are merged."""
+        return kept_totals.read(self.spark, self.path("marts", "_kept_totals"))
+
 
 def take_snapshot(wh: Warehouse, products: DataFrame, run_at: datetime) -> DataFrame:
     """Product history after this extract; only what changed is written.
@@ -143,6 +147,7 @@ def build(
     _replace(wh, "dim_date", dimensions.dim_date(wh.spark, *calendar))
     _replace(wh, "dim_time_of_day", dimensions.dim_time_of_day(wh.spark))
     written = load_fact(wh, items, orders, rates, wh.mart("dim_products"), since)
+    refresh_totals(wh)
 
     tests = run_tests(
         {
@@ -164,6 +169,12 @@ def build(
     return results
 
 
+def refresh_totals(wh: Warehouse) -> published.Manifest:
+    """Redo the kept totals of the days that the newest loads have written."""
+    fact, totals = (wh.path("marts", n) for n in ("fact_order_items", "_kept_totals"))
+    return kept_totals.refresh(wh.spark, fact, FACT_SCHEMA, totals)
+
+
 def _replace(wh: Warehouse, table: str, df: DataFrame) -> None:
     df.write.mode("overwrite").parquet(wh.path("marts", table))
 
@@ -177,13 +188,13 @@ def write_raw_orders(wh: Warehouse, raw: DataFrame) -> None:
 
 
 def export_reports(wh: Warehouse, folder: str) -> None:
-    """The four report files."""
-    fact = wh.fact()
+    """The four report files; only the list of exceptions reads lines."""
+    totals = wh.totals()
     made = {
-        "rpt_top_products": reports.top_products(fact, wh.mart("dim_products")),
-        "rpt_promo_time_of_day": reports.promo_time_of_day(fact, wh.mart("dim_time_of_day")),
-        "rpt_data_quality_exceptions": exceptions(fact),
-        "kpis_summary": reports.kpis(fact),
+        "rpt_top_products": kept_totals.top_products(totals, wh.mart("dim_products")),
+        "rpt_promo_time_of_day": kept_totals.promo_time_of_day(totals, wh.mart("dim_time_of_day")),
+        "rpt_data_quality_exceptions": exceptions(wh.fact()),
+        "kpis_summary": kept_totals.kpis(totals),
     }
     for name, report in made.items():
         export_report(report, name, f"{folder}/{name}")

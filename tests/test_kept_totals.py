@@ -1,0 +1,136 @@
+"""Kept totals against reports computed from the lines, and what a refresh reads."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from starmart import published
+from starmart.operators.upsert import upsert_partitions
+from starmart.plans import dimensions, kept_totals, reports
+from starmart.plans.warehouse import FACT_SCHEMA
+from tests.conftest import BATCH_1, BATCH_2, as_rows
+
+DAYS = [date(2024, 3, d) for d in (1, 2, 3)]
+
+
+def line(i, order, product, day, hour, usd, stamp=BATCH_1):
+    amount = None if usd is None else Decimal(usd)
+    at = datetime(day.year, day.month, day.day, hour)
+    return (
+        i, order, 1, product, at, hour, i % 5 + 1, Decimal("1.00"), "USD" if usd else "XYZ", bool(usd),
+        Decimal("1.00"), Decimal("1"), amount, usd is not None, product == -1, stamp, day,
+    )
+
+
+FIRST = [
+    *[line(i, i // 3, i % 4 + 1, DAYS[i // 3 % 3], i // 3 % 5, "2.50") for i in range(90)],
+    *[line(100 + i, 40_000 + i, 7, DAYS[0], 3, "1.00") for i in range(50)],  # another bucket
+    *[line(200 + i, 500 + i, -1, DAYS[1], 4, None) for i in range(5)],  # placeholder, not convertible
+    line(300, 600, 8, DAYS[1], 4, None),  # a product without revenue
+    line(301, -5, 9, DAYS[2], 9, "1.00"),  # ids below zero are ids
+    line(302, 700, 9, DAYS[0], 9, "1.00"), line(303, 700, 9, DAYS[2], 9, "1.00"),  # one order, two days
+]
+SECOND = [
+    line(3, 1, 8, DAYS[1], 1, "9.00", BATCH_2),  # another product
+    line(400, 40_049, 7, DAYS[1], 3, "1.00", BATCH_2),  # an order of another day
+    line(401, 4, 2, DAYS[1], 4, None, BATCH_2),
+]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, FACT_SCHEMA)
+
+
+def products(spark):
+    rows = [(i, f"p{i}", "c", None, None, None, None, None, True) for i in (-1, 1, 2, 3, 4, 7, 8, 9)]
+    return spark.createDataFrame(rows, dimensions.dim_products(
+        spark.createDataFrame([], "product_id long, product_name string, category string, description string,"
+        " base_price decimal(10,2), currency string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    ).schema)
+
+
+def both(spark, kept, fact):
+    hours, named = dimensions.dim_time_of_day(spark), products(spark)
+    cents = {c: F.round(c, 2) for c in ("revenue_usd", "avg_order_value_usd")}
+    yield kept_totals.top_products(kept, named), reports.top_products(fact, named)
+    yield tuple(
+        r.withColumns(cents) for r in (kept_totals.promo_time_of_day(kept, hours), reports.promo_time_of_day(fact, hours))
+    )
+    yield kept_totals.kpis(kept), reports.kpis(fact)
+
+
+def assert_same_reports(spark, path, kept_path):
+    kept, fact = kept_totals.read(spark, kept_path), published.read(spark, path, FACT_SCHEMA)
+    for ours, plain in both(spark, kept, fact):
+        assert ours.columns == plain.columns
+        assert _numbers(ours) == _numbers(plain)
+
+
+def _numbers(df):
+    return [tuple(float(v) if isinstance(v, Decimal) else v for v in r) for r in as_rows(df)]
+
+
+@pytest.fixture
+def loaded(spark, tmp_path):
+    path, kept = str(tmp_path / "fact"), str(tmp_path / "kept")
+    upsert_partitions(path, frame(spark, FIRST))
+    kept_totals.refresh(spark, path, FACT_SCHEMA, kept)
+    return path, kept
+
+
+def test_first_refresh(spark, loaded):
+    assert_same_reports(spark, *loaded)
+
+
+def test_a_load_refreshes_its_days_only(spark, loaded):
+    path, kept = loaded
+    before = published.manifest(spark, kept)
+    upsert_partitions(path, frame(spark, SECOND))
+    after = kept_totals.refresh(spark, path, FACT_SCHEMA, kept)
+    assert {n for n in after.folders if after.folders[n] != before.folders[n]} == {f"order_date_day={DAYS[1]}"}
+    assert_same_reports(spark, path, kept)
+    whole = kept + "_rebuilt"
+    kept_totals.refresh(spark, path, FACT_SCHEMA, whole)
+    assert as_rows(kept_totals.read(spark, kept)) == as_rows(kept_totals.read(spark, whole))
+
+
+def test_a_repeated_refresh_does_nothing(spark, loaded):
+    path, kept = loaded
+    before = published.manifest(spark, kept)
+    assert kept_totals.refresh(spark, path, FACT_SCHEMA, kept) == before
+    assert published.versions(spark, kept) == [1]
+
+
+def test_a_day_that_is_gone_leaves_the_totals(spark, loaded):
+    path, kept = loaded
+    moved = [line(*r, BATCH_2) for r in [(301, -5, 9, DAYS[0], 9, "1.00"), (303, 700, 9, DAYS[0], 9, "1.00")]]
+    rest = [line(r[0], r[1], r[3], DAYS[0], r[5], "2.50", BATCH_2) for r in FIRST[:90] if r[-1] == DAYS[2]]
+    upsert_partitions(path, frame(spark, moved + rest))
+    after = kept_totals.refresh(spark, path, FACT_SCHEMA, kept)
+    assert set(after.folders) == {f"order_date_day={d}" for d in DAYS[:2]}
+    assert_same_reports(spark, path, kept)
+
+
+def test_a_broken_refresh_changes_nothing(spark, loaded, monkeypatch):
+    path, kept = loaded
+    upsert_partitions(path, frame(spark, SECOND))
+    before = as_rows(kept_totals.read(spark, kept))
+
+    def broken(*args):
+        raise RuntimeError("writer stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(published, "publish", broken)
+        with pytest.raises(RuntimeError):
+            kept_totals.refresh(spark, path, FACT_SCHEMA, kept)
+    assert as_rows(kept_totals.read(spark, kept)) == before
+    kept_totals.refresh(spark, path, FACT_SCHEMA, kept)
+    assert_same_reports(spark, path, kept)
+
+
+def test_empty_fact(spark, tmp_path):
+    empty = kept_totals.totals(frame(spark, []), "order_date_day")
+    for ours, plain in both(spark, empty, frame(spark, [])):
+        assert _numbers(ours) == _numbers(plain)
