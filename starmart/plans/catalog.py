@@ -14,6 +14,7 @@ from starmart import published, schemas
 from starmart.fixed_values import EXPORT_COLUMNS, UNKNOWN_PRODUCT_ID
 from starmart.functions.calendar import local_time
 from starmart.operators import asof, ordering, quality, redo, scd2, staging, upsert
+from starmart.operators.colocated import Colocated
 from starmart.operators.history import History
 from starmart.operators.latest import latest_by_key
 from starmart.operators.skew import join_spread
@@ -271,6 +272,19 @@ def fact_order_items(spark, d):
     return _fact(spark, d)
 
 
+@query
+def fact_colocated(spark, d):
+    """The fact from lines and orders written side by side, in two batches."""
+    items, orders = _items(spark, d), _orders(spark, d)
+    pair = Colocated(
+        spark, new_path(spark, "colocated"), items.schema, orders.schema, "order_id", LINE_KEY, buckets=8
+    )
+    early = F.col("_loaded_at") == local_time(inputs.BATCH_1_LOADED_AT)
+    pair.add(items.filter(early), orders.filter(early), "1")
+    pair.add(items.filter(~early), orders.filter(~early), "2")
+    return fact.fact_of_pair(pair, _rates(spark, d), _products(spark, d))
+
+
 @query
 def fact_partition_pruned(spark, d):
     """The fact written by month, then one quarter read back by directory pruning."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from starmart.fixed_values import UNKNOWN_PRODUCT_ID
 from starmart.functions.money import amount_usd
 from starmart.operators.asof import join_nearest
+from starmart.operators.colocated import Colocated
 from starmart.operators.skew import join_spread
 from starmart.plans.dimensions import current_products
 from starmart.schemas import FACT_COLUMNS
@@ -45,8 +46,12 @@ def order_items_usd(
 def _lines_in_usd(
     items: DataFrame, orders: DataFrame, rates: DataFrame, how: str
 ) -> DataFrame:
+    return _rated(dated_lines(items, orders, how), rates)
+
+
+def _rated(dated: DataFrame, rates: DataFrame) -> DataFrame:
     rated = join_nearest(
-        dated_lines(items, orders, how),
+        dated,
         rates,
         key="currency",
         line_day=F.col("order_date").cast("date"),
@@ -70,7 +75,16 @@ def fact_order_items(
     The orders table is joined once, for the date and the customer together. Products
     outside the catalogue get the placeholder key and a flag.
     """
-    lines = _lines_in_usd(items, orders, rates, "inner")
+    return _with_known_products(_lines_in_usd(items, orders, rates, "inner"), items, products)
+
+
+def fact_of_pair(pair: Colocated, rates: DataFrame, products: DataFrame) -> DataFrame:
+    """The same from lines and orders that are kept side by side: no line is moved to its order."""
+    dated = pair.joined("inner", ["order_date", "customer_id"])
+    return _with_known_products(_rated(dated, rates), pair.lines(), products)
+
+
+def _with_known_products(lines: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     known = current_products(products).select("product_id").distinct()
     known = known.withColumn("_known", F.lit(True))
     joined = join_spread(lines, known, ["product_id"], "left", LINE_KEY, hot_in=items)

@@ -410,6 +410,7 @@ _BODIES = {
     "order_items_usd_inner": f"""select {_USD_COLUMNS}
         from ({_in_usd("stray_lines", "stg_ord", "inner")})""",
     "fact_order_items": f"select {_FACT_COLUMNS} from fact",
+    "fact_colocated": f"select {_FACT_COLUMNS} from fact",
     "fact_partition_pruned": f"""
         select order_date_day, count(*) as lines, cast(sum(quantity) as bigint) as units,
                {_money("sum(line_amount_usd)")} as revenue_usd
