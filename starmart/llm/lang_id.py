@@ -219,6 +219,11 @@ def train(docs: DataFrame, id_column="doc_id", text="text", language="lang", row
     labelled = docs.filter(F.col(language).isNotNull())
     order = F.xxhash64(F.col(id_column).cast("string"), ROW_ID)
     narrow = labelled.select(ROW_ID, F.col(language).alias("lang"), order.alias("order"))
+    # the order is an even hash: its lowest share holds four times the rows wanted, however many tasks
+    # there are, and one row per language is joined to find that share
+    counts = narrow.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    place = F.col("order") / F.lit(2.0**64) + 0.5
+    narrow = narrow.join(F.broadcast(counts), "lang").filter(place * F.col("rows") <= 4 * rows_per_language).drop("rows")
     first = W.partitionBy("lang").orderBy("order", ROW_ID)
     chosen = land(narrow.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= rows_per_language).drop("n"), "sample")
     texts = docs.select(ROW_ID, F.coalesce(F.col(text), F.lit("")).alias("text"))
