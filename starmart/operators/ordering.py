@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starmart.operators.skew import join_spread
+from starmart.operators.skew import HotKeys, join_spread
 from starmart.storage import land
 
 _POSITION_BITS = 33
@@ -29,12 +29,13 @@ def _land_sorted(df: DataFrame, order_by: list[Column], name: str) -> DataFrame:
     )
 
 
-def _offsets(sorted_rows: DataFrame, weight: Column) -> DataFrame:
-    """Total weight of all earlier partitions; one row per partition of the sort."""
-    totals = sorted_rows.groupBy("_part").agg(F.sum(weight).alias("_total"))
-    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+def _offsets(sorted_rows: DataFrame, weight: Column, *groups: str) -> DataFrame:
+    """Total weight of all earlier partitions, per group; one row per group and partition."""
+    totals = sorted_rows.groupBy(*groups, "_part").agg(F.sum(weight).alias("_total"))
+    by_part = W.partitionBy(*groups) if groups else W
+    earlier = by_part.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     return totals.select(
-        "_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset")
+        *groups, "_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset")
     )
 
 
@@ -53,29 +54,65 @@ def global_rank(df: DataFrame, value: str, rank_name: str, spread_by: list[str])
     Ties are collapsed before the sort, so neither a value shared by a third of the
     rows nor the number of rows decides the size of a task.
     """
-    ties = df.groupBy(value).agg(F.count(F.lit(1)).alias("_ties"))
-    rows = _land_sorted(ties, [F.col(value).desc_nulls_last()], "rank")
-    offsets = F.broadcast(_offsets(rows, F.col("_ties")))
-    before = W.partitionBy("_part").orderBy("_pos").rowsBetween(W.unboundedPreceding, -1)
-    ranks = rows.join(offsets, "_part").select(
-        F.col(value).isNull().alias("_no_value"),
-        _non_null(df, value).alias("_value"),
-        (F.col("_offset") + F.coalesce(F.sum("_ties").over(before), F.lit(0)) + 1).alias(rank_name),
+    return _with_ranks(df, {rank_name: value}, spread_by)
+
+
+def rank_all(df: DataFrame, ranks: dict[str, str], spread_by: list[str]) -> DataFrame:
+    """Add one descending rank per entry of ``ranks`` ({rank name: value column}).
+
+    One pass collapses the ties of all value columns, one sort puts them in order.
+    """
+    return _with_ranks(land(df, "to_rank"), ranks, spread_by)
+
+
+def _with_ranks(df: DataFrame, ranks: dict[str, str], spread_by: list[str]) -> DataFrame:
+    placed = _places(df, list(ranks.values()))
+    keyed = df.withColumns(
+        {
+            name: column
+            for i, value in enumerate(ranks.values())
+            for name, column in zip(_rank_key(i), _without_null(F.col(value), df, value))
+        }
     )
-    keyed = df.withColumn("_no_value", F.col(value).isNull()).withColumn(
-        "_value", _non_null(df, value)
+    hot = HotKeys(keyed, *[_rank_key(i) for i in range(len(ranks))])
+    ranked = keyed
+    for i, (name, value) in enumerate(ranks.items()):
+        missing, plain = _without_null(F.col(f"_value{i}"), df, value)
+        mine = placed.filter(F.col("_which") == i).select(
+            *[c.alias(n) for n, c in zip(_rank_key(i), (missing, plain))], F.col("_rank").alias(name)
+        )
+        ranked = join_spread(ranked, mine, _rank_key(i), "inner", spread_by, hot_in=hot)
+    return ranked.select(*df.columns, *ranks)
+
+
+def _places(df: DataFrame, values: list[str]) -> DataFrame:
+    """The rank of every different value, for all columns at once.
+
+    A row names its column (``_which``) and holds the value in ``_value<which>``; the other
+    value columns are NULL there, so each keeps its own type and order.
+    """
+    columns = [f"_value{i}" for i in range(len(values))]
+
+    def entry(which: int) -> Column:
+        own = [F.when(F.lit(i == which), F.col(v)).alias(c) for i, (c, v) in enumerate(zip(columns, values))]
+        return F.struct(F.lit(which).alias("_which"), *own)
+
+    entries = df.select(F.inline(F.array(*[entry(i) for i in range(len(values))])))
+    ties = entries.groupBy("_which", *columns).agg(F.count(F.lit(1)).alias("_ties"))
+    order = [F.col("_which").asc(), *[F.col(c).desc_nulls_last() for c in columns]]
+    rows = _land_sorted(ties, order, "ranks")
+    offsets = F.broadcast(_offsets(rows, F.col("_ties"), "_which"))
+    before = W.partitionBy("_which", "_part").orderBy("_pos").rowsBetween(W.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("_ties").over(before), F.lit(0))
+    return rows.join(offsets, ["_which", "_part"]).select(
+        "_which", *columns, (F.col("_offset") + earlier + 1).alias("_rank")
     )
-    ranked = join_spread(keyed, ranks, ["_no_value", "_value"], "inner", spread_by)
-    return ranked.select(*df.columns, rank_name)
 
 
-def rank_all(df: DataFrame, ranks: dict[str, str], spread_by: list[str]) -> DataFrame:
-    """Add one descending rank per entry of ``ranks`` ({rank name: value column})."""
-    ranked = land(df, "to_rank")
-    for name, value in ranks.items():
-        ranked = global_rank(ranked, value, name, spread_by)
-    return ranked
+def _rank_key(which: int) -> list[str]:
+    return [f"_no_value{which}", f"_plain{which}"]
 
 
-def _non_null(df: DataFrame, value: str) -> Column:
-    return F.coalesce(F.col(value), F.lit(0).cast(df.schema[value].dataType))
+def _without_null(column: Column, df: DataFrame, value: str) -> tuple[Column, Column]:
+    """A NULL as a flag and a zero, so that an equality join finds it."""
+    return column.isNull(), F.coalesce(column, F.lit(0).cast(df.schema[value].dataType))

@@ -1,6 +1,6 @@
 """Joins that hold up when one key owns a large share of the left rows."""
 
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
@@ -12,28 +12,44 @@ ROW_OVERHEAD_BYTES = 32
 
 _FIXED_WIDTHS = {"boolean": 1, "int": 4, "date": 4, "bigint": 8, "timestamp_ntz": 8, "decimal": 16}
 
-def find_hot_keys(df: DataFrame, keys: list[str]) -> dict[int, int]:
-    """Hashes of the keys that would overfill a shuffle partition, each with its number of parts.
 
-    One pass over the key columns with a bounded sketch, merged map-side. A key counts
+class HotKeys:
+    """Keys of a frame that would overfill a shuffle partition, for all joins to come.
+
+    One pass over all key columns, made when the first join needs it (never, if all other
+    sides are broadcast), with a bounded sketch per key, merged map-side. A key counts
     as hot from half an average partition on, so there are at most two per partition; it gets as
     many parts as it has halves, so all parts together are at most four per partition, however
     many keys are hot. The sketch tracks ten times as many keys. It only steers the layout; the
-    join is exact whatever it returns.
+    joins are exact whatever it returns.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = 0.5 / partitions
-    tracked = min(max(10_000, 20 * partitions), SKETCH_LIMIT)
-    row = (
-        df.select(F.xxhash64(*keys).alias("key"))
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.expr(f"approx_top_k(key, {min(2 * partitions, tracked)}, {tracked})").alias("top"),
-        )
-        .first()
-    )
-    least = share * row.rows
-    return {k["item"]: -int(-k["count"] // least) for k in row.top or [] if k["count"] > least}
+
+    def __init__(self, df: DataFrame, *keys: list[str]):
+        self.df, self.keys = df, keys
+
+    def of(self, keys: list[str]) -> dict[int, int]:
+        """Hashes of the hot keys over these columns, each with its number of parts."""
+        return self._found[self.keys.index(keys)]
+
+    @cached_property
+    def _found(self) -> list[dict[int, int]]:
+        partitions = int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        share = 0.5 / partitions
+        tracked = min(max(10_000, 20 * partitions), SKETCH_LIMIT)
+        most = min(2 * partitions, tracked)
+        places = range(len(self.keys))
+        hashes = [F.xxhash64(*keys).alias(f"key{i}") for i, keys in enumerate(self.keys)]
+        sketches = [F.expr(f"approx_top_k(key{i}, {most}, {tracked})").alias(f"top{i}") for i in places]
+        row = self.df.select(*hashes).agg(F.count(F.lit(1)).alias("rows"), *sketches).first()
+        least = share * row.rows
+        return [
+            {k["item"]: -int(-k["count"] // least) for k in row[f"top{i}"] or [] if k["count"] > least}
+            for i in places
+        ]
+
+
+def find_hot_keys(df: DataFrame, keys: list[str]) -> dict[int, int]:
+    return HotKeys(df, keys).of(keys)
 
 
 def is_small(df: DataFrame) -> bool:
@@ -59,7 +75,7 @@ def join_spread(
     how: str,
     spread_by: list[str],
     residual: Column | None = None,
-    hot_in: DataFrame | None = None,
+    hot_in: DataFrame | HotKeys | None = None,
 ) -> DataFrame:
     """Join a large ``left`` to a side with few rows per key.
 
@@ -69,13 +85,14 @@ def join_spread(
     the same part); parts are hashed to partitions, a few of which get several. Only the hot
     rows of ``right`` are repeated, once per part of their key. ``residual`` is a
     further condition over columns of both sides. ``hot_in`` is a cheaper frame with the
-    same keys to look for hot ones in, if ``left`` is itself the result of a join.
+    same keys to look for hot ones in, if ``left`` is itself the result of a join, or the
+    hot keys of such a frame, shared by several joins.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how} would repeat salted rows")
     if is_small(right):
         right = F.broadcast(right)
-    elif hot := find_hot_keys(left if hot_in is None else hot_in, keys):
+    elif hot := _hot_keys(left if hot_in is None else hot_in, keys):
         # at most two rows per shuffle partition
         parts = left.sparkSession.createDataFrame([*hot.items()], "_hot long, _parts int")
 
@@ -92,3 +109,7 @@ def join_spread(
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     matches = reduce(and_, [F.col(k) == F.col(f"_right_{k}") for k in keys], residual)
     return left.join(renamed, matches, how).drop("_salt", *[f"_right_{k}" for k in keys])
+
+
+def _hot_keys(hot_in: DataFrame | HotKeys, keys: list[str]) -> dict[int, int]:
+    return hot_in.of(keys) if isinstance(hot_in, HotKeys) else find_hot_keys(hot_in, keys)

@@ -364,8 +364,8 @@ def top10_products(spark, d):
 def rank_lines_by_amount(spark, d):
     """The distributed rank, over every line."""
     lines = _items(spark, d).select("order_item_id", "line_amount_native", "quantity")
-    by_amount = ordering.global_rank(lines, "line_amount_native", "rank_by_amount", LINE_KEY)
-    return ordering.global_rank(by_amount, "quantity", "rank_by_quantity", LINE_KEY)
+    ranks = {"rank_by_amount": "line_amount_native", "rank_by_quantity": "quantity"}
+    return ordering.rank_all(lines, ranks, LINE_KEY)
 
 
 @query

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -32,10 +33,12 @@ def test_rank_equals_window_rank_without_broadcast(spark, force_shuffle):
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, window_rank(df).collect()))
 
 
-def test_several_ranks_equal_windows(spark):
-    df = values(spark).withColumn("w", F.col("id") % 17)
-    have = rank_all(df, {"a": "v", "b": "w"}, ["id"])
-    over = {n: F.rank().over(W.orderBy(F.col(c).desc_nulls_last())) for n, c in {"a": "v", "b": "w"}.items()}
+@pytest.mark.parametrize("columns", [["v", "w"], ["w", "v", "f"]])
+def test_several_ranks_equal_windows(spark, columns, force_shuffle):
+    df = values(spark).withColumns({"w": F.col("id") % 17, "f": (F.col("id") % 7).cast("double")})
+    names = dict(zip("abc", columns))
+    have = rank_all(df, names, ["id"])
+    over = {n: F.rank().over(W.orderBy(F.col(c).desc_nulls_last())) for n, c in names.items()}
     assert sorted(map(tuple, have.collect())) == sorted(map(tuple, df.withColumns(over).collect()))
 
 

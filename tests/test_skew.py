@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.operators.skew import find_hot_keys, is_small, join_spread
+from starmart.operators import skew
+from starmart.operators.skew import HotKeys, find_hot_keys, is_small, join_spread
 
 
 @pytest.fixture
@@ -30,6 +31,25 @@ def test_finds_the_hot_keys(spark, lines):
     assert find_hot_keys(spark.range(9000), ["id"]) == {}
 
 
+def test_one_pass_finds_the_hot_keys_of_all_joins(spark, lines, names, force_shuffle, monkeypatch):
+    df = lines.withColumn("other", F.when(F.col("id") < 6000, 2).otherwise(F.col("id")))
+    both = HotKeys(df, ["key"], ["other"])
+    assert [both.of(k) for k in (["key"], ["other"])] == [find_hot_keys(df, k) for k in (["key"], ["other"])]
+    assert both.of(["other"]) and both.of(["key"]) != both.of(["other"])
+
+    sketched = []
+    found = skew.HotKeys._found.func
+    counted = skew.cached_property(lambda self: sketched.append(self.keys) or found(self))
+    counted.__set_name__(skew.HotKeys, "_found")
+    monkeypatch.setattr(skew.HotKeys, "_found", counted)
+    shared, again = HotKeys(df, ["key"], ["other"]), names.select(F.col("key").alias("other"), F.col("v").alias("w"))
+    first = join_spread(df, names, ["key"], "left", ["id"], hot_in=shared)
+    second = join_spread(first, again, ["other"], "left", ["id"], hot_in=shared)
+    plain = df.join(names, "key", "left").join(again, "other", "left").select(second.columns)
+    assert sorted(map(tuple, second.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    assert sketched == [(["key"], ["other"])]
+
+
 def test_parts_follow_the_shares(spark):
     """Many hot keys do not multiply: all parts together are at most four per partition."""
     spark.conf.set("spark.sql.shuffle.partitions", 64)
