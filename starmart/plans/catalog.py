@@ -493,6 +493,19 @@ def fact_merge(spark, d):
     return _published(spark, path, first)
 
 
+@query
+def fact_corrected(spark, d):
+    """The fact of all lines; then the hundred dearest come again with one more unit, and are
+    looked up by their ids, which are digests."""
+    path = new_path(spark, "fact_corrected")
+    first = _fact(spark, d)
+    _apply(path, first, unordered_key=True)
+    loaded = _published(spark, path, first)
+    dearest = loaded.orderBy(F.col("line_amount_native").desc_nulls_last(), "order_item_id").limit(100)
+    _apply(path, dearest.withColumn("quantity", F.col("quantity") + 1), unordered_key=True)
+    return _published(spark, path, first)
+
+
 @query
 def fact_rerated(spark, d):
     """The fact of all lines, loaded with every second rate missing; then the late rates arrive

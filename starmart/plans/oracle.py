@@ -501,6 +501,13 @@ _BODIES = {
         left join (select * from fact where _loaded_at = {_BATCH_1}) old
           on old.order_item_id = new.order_item_id)
         select {_FACT_COLUMNS} from merged""",
+    "fact_corrected": f""", dearest as (
+        select order_item_id as id from fact
+        order by line_amount_native desc nulls last, order_item_id limit 100),
+    corrected as (
+        select fact.* replace (quantity + case when id is null then 0 else 1 end as quantity)
+        from fact left join dearest on id = order_item_id)
+        select {_FACT_COLUMNS} from corrected""",
     "fact_rerated": f"select {_FACT_COLUMNS} from fact",
     "kept_top_products": _second_report(_TOP),
     "kept_promo_time_of_day": _second_report(_PROMO),
