@@ -58,14 +58,23 @@ def is_small(df: DataFrame) -> bool:
     Only for fixed-width columns, where rows times width bounds the size. Anything else
     is left to the optimizer's own size statistics.
     """
-    widths = [_FIXED_WIDTHS.get(kind.split("(")[0]) for _, kind in df.dtypes]
-    if None in widths:
-        return False
-    return df.count() <= BROADCAST_BYTES // (ROW_OVERHEAD_BYTES + sum(widths))
+    return _fits(df) is True
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if is_small(df) else df
+    """A broadcast if the row count proves the table small, a shuffle if it proves the opposite:
+    the optimizer's statistics do not count the rows that an ``explode`` adds."""
+    fits = _fits(df)
+    if fits is None:
+        return df
+    return F.broadcast(df) if fits else df.hint("merge")
+
+
+def _fits(df: DataFrame) -> bool | None:
+    widths = [_FIXED_WIDTHS.get(kind.split("(")[0]) for _, kind in df.dtypes]
+    if None in widths:
+        return None
+    return df.count() <= BROADCAST_BYTES // (ROW_OVERHEAD_BYTES + sum(widths))
 
 
 def join_spread(
@@ -90,7 +99,8 @@ def join_spread(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how} would repeat salted rows")
-    if is_small(right):
+    fits = _fits(right)
+    if fits:
         right = F.broadcast(right)
     elif hot := _hot_keys(left if hot_in is None else hot_in, keys):
         # at most two rows per shuffle partition
@@ -104,6 +114,8 @@ def join_spread(
         left = with_parts(left).withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_hot", "_parts")
         right = with_parts(right).withColumn("_salt", F.explode(salts)).drop("_hot", "_parts")
         keys = [*keys, "_salt"]
+    if fits is False:
+        right = right.hint("merge")  # the optimizer's statistics may still call it small
     if residual is None:
         return left.join(right, keys, how).drop("_salt")
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})

@@ -109,3 +109,19 @@ def test_size_is_proven_by_rows_and_fixed_widths(spark, monkeypatch):
     assert not is_small(table.select(F.col("id").cast("string")))
     monkeypatch.setattr("starmart.operators.skew.BROADCAST_BYTES", 1000)
     assert not is_small(table)
+
+
+def test_a_side_that_an_explode_made_large_is_not_broadcast(spark, tmp_path, monkeypatch):
+    """The optimizer's statistics are those of the file below the explode."""
+    spark.range(50).select(F.col("id").alias("key")).write.parquet(f"{tmp_path}/small")
+    small = spark.read.parquet(f"{tmp_path}/small")
+    right = small.select("key", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("from"))
+    left = spark.range(1000).select("id", (F.col("id") % 60).alias("key"))
+    monkeypatch.setattr("starmart.operators.skew.BROADCAST_BYTES", 1000)
+    for joined in (
+        join_spread(left, right, ["key"], "left", ["id"]),
+        join_spread(left, right, ["key"], "left", ["id"], residual=F.col("id") >= F.col("from")),
+        left.join(skew.broadcast_if_small(right), "key", "left"),
+    ):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
