@@ -134,3 +134,20 @@ def test_empty_fact(spark, tmp_path):
     empty = kept_totals.totals(frame(spark, []), "order_date_day")
     for ours, plain in both(spark, empty, frame(spark, [])):
         assert _numbers(ours) == _numbers(plain)
+
+
+def test_orders_of_products_take_one_shuffle(spark):
+    """Each task sends its sets; the lines are not made distinct in a shuffle of their own."""
+    day = date(2024, 1, 1)
+    rows = [(1, o, 5, 2, day) for o in (3, 3, 40_000)] + [(2, 3, 6, 1, day)]
+    lines = spark.createDataFrame(rows, "product_id long, order_id long, order_hour long, quantity int, order_date_day date")
+    lines = lines.withColumns(
+        {
+            "line_amount_usd": F.lit(1).cast("decimal(38,8)"),
+            **{c: F.lit(True) for c in ("is_fx_convertible", "is_valid_currency")},
+            "is_unknown_product": F.lit(False),
+        }
+    )
+    found = kept_totals.totals(lines, "order_date_day").filter(F.col("kind") == kept_totals.PRODUCT_ORDERS)
+    assert sorted((r.member, r.bucket, list(r.positions)) for r in found.collect()) == [(1, 1, [2]), (1, 2, [7231]), (2, 1, [2])]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
