@@ -3,6 +3,10 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from starmart import schemas
+from starmart.fixed_values import UNKNOWN_PRODUCT_ID
 from starmart.operators import staging, upsert
 from starmart.operators.quality import (
     DataTest,
@@ -236,3 +240,17 @@ def test_exception_rate_stands_out(spark):
     unusual = exception_rate_by_day(fact).filter("is_unusual").collect()
     assert [r.order_date_day for r in unusual] == [date(2024, 1, 28)]
     assert unusual[0].is_over_limit
+
+
+def test_lines_of_products_are_not_added_up_before_the_shuffle(spark):
+    """(product, order) hardly repeats, so a task would hold every line of its input."""
+    rows = [(1, 1, 2), (1, 1, 3), (1, 2, 1), (2, None, 4), (UNKNOWN_PRODUCT_ID, 3, 9)]
+    lines = spark.createDataFrame(rows, "product_id long, order_id long, quantity int")
+    lines = lines.withColumns(
+        {"line_amount_usd": F.lit(1).cast(schemas.AMOUNT), "is_fx_convertible": F.col("product_id") == 1}
+    )
+    totals = reports.product_totals(lines)
+    assert as_rows(totals) == [(1, 6, Decimal(3), 2), (2, 4, None, 0)]
+    text = totals._jdf.queryExecution().executedPlan().toString()
+    below = text[text.rindex("Exchange hashpartitioning(product_id"):]
+    assert "order_id" in below.splitlines()[0] and "Aggregate" not in below
