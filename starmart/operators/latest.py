@@ -11,7 +11,9 @@ def latest_by_key(changes: DataFrame, key: str, order_by: list[str]) -> DataFram
     shuffle, so a key with most of the changes sends one row per task.
     """
     payload = [c for c in changes.columns if c != key]
-    newest = F.max_by(F.struct(*payload), F.struct(*order_by))
+    order = F.struct(*order_by)
+    # if every column takes part in the order, the greatest is the row, and moves once
+    newest = F.max(order) if set(payload) <= set(order_by) else F.max_by(F.struct(*payload), order)
     return (
         changes.groupBy(key)
         .agg(newest.alias("_row"))
