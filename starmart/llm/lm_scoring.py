@@ -31,13 +31,13 @@ Defined results
     clashing extra columns  only the id and the text are read
 """
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,38 +55,57 @@ JUDGES = 3  # remainder of the training texts that decide when to stop
 LEARNING_RATE = 0.1
 
 _END_WORD = b""  # stands for the end in the table of counts; no word is empty
+_SPLIT_BYTES = 1 << 23  # of texts that are split into words at once
 _COUNTED_WORDS = 400_000  # distinct words a task counts before it passes them on
 _PAIRED_TOKENS = 4_000_000
 _COPY_TOKENS = 250_000  # a corpus of n times as many tokens trains sqrt(n) copies
 _BATCH = 8192
 _LEAST_BATCH = 128  # few pairs are split into up to 64 steps of as many at least
-_SCORED_TOKENS = 200_000
+_SCORED_TOKENS = 1 << 14  # so that their rows of parameters stay in the cache
+_SCORED_AT_ONCE = 200_000
 _BLOCK = 1024  # symbols per row when parameters are averaged
 _SUMMED = 1 << 14  # targets whose scores are held at once for a normaliser
 _STOP_CONTEXTS = 1 << 14  # most frequent contexts after which tokens decide when to stop
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()  # bytes: A-Z only, ASCII space only
+def _pieces(batch: pa.RecordBatch, texts: int) -> Iterator[pa.RecordBatch]:
+    """Of about as many bytes of text, so that the words of a batch are not all held at once."""
+    size = np.cumsum(pc.binary_length(batch.column(texts)).fill_null(0).to_numpy(), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(size // _SPLIT_BYTES)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(low, high - low) for low, high in zip(cuts, cuts[1:]) if high > low)
+
+
+def _split(texts: pa.Array) -> pa.ListArray:
+    """The words of each text, and empty ones where space begins or ends it."""
+    kind = pa.large_string() if pa.types.is_large_binary(texts.type) else pa.string()
+    return pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null(b"").view(kind)))  # A-Z only, ASCII space only
 
 
 # --- counts -------------------------------------------------------------------------
 
 
+_COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = Counter()
+    held, size = [], 0
 
-    def passed_on():
-        return pa.RecordBatch.from_arrays([pa.array([*counts], pa.binary()), pa.array([*counts.values()], pa.int64())], ["word", "n"])
+    def added_up():
+        return pa.Table.from_batches(held, _COUNTS).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(_COUNTS.names)
 
     for batch in batches:
-        for text in batch.column(0):
-            counts.update(words_of(text.as_py()))
-        counts[_END_WORD] += batch.num_rows
-        if len(counts) > _COUNTED_WORDS:
-            yield passed_on()
-            counts.clear()
-    yield passed_on()
+        for piece in _pieces(batch, 0):
+            words, n = _split(piece.column(0)).flatten().value_counts().flatten()
+            held.append(pa.RecordBatch.from_arrays([words.cast(pa.binary()), n], schema=_COUNTS).filter(pc.greater(pc.binary_length(words), 0)))
+            size += held[-1].num_rows
+            if size > 2 * _COUNTED_WORDS:
+                table = added_up()
+                if table.num_rows > _COUNTED_WORDS:
+                    yield from table.to_batches()
+                    table = table.slice(0, 0)
+                held, size = table.to_batches(), table.num_rows
+        held.append(pa.RecordBatch.from_arrays([pa.array([_END_WORD]), pa.array([batch.num_rows])], schema=_COUNTS))
+    yield from added_up().to_batches()
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -171,23 +190,33 @@ def _from_bytes(blob: bytes) -> np.ndarray:
 
 
 def _code(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
-    number = {word: i for i, word in enumerate(vocabulary.words)}
-    logs = np.append(np.log10(vocabulary.counts + 1.0), 0.0)  # the last: not a frequent word
-    named, other, end = vocabulary.named, vocabulary.other, vocabulary.end
-    end_log, missing = float(np.log10(vocabulary.ends + 1.0)), len(vocabulary.words)
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary(), pa.list_(pa.binary())]
+    missing, end = len(vocabulary.words), len(vocabulary.words) + 1  # places behind the frequent words
+    logs = np.log10(np.concatenate([vocabulary.counts, [0, vocabulary.ends]]) + 1.0)
+    symbols = np.full(end + 1, vocabulary.other, np.uint32)
+    symbols[: vocabulary.named], symbols[end] = np.arange(vocabulary.named), vocabulary.end
+    frequent_words = pa.array(vocabulary.words, pa.binary()).view(pa.string())
     for batch in batches:
-        rows = []
-        for text in batch.column(3):
-            words = words_of(text.as_py())
-            at = np.array([number.get(w, missing) for w in words], np.int64)
-            gain, unnamed = logs[at], at >= named
-            rare = [words[j] for j in np.flatnonzero(at == missing)]
-            ids = np.append(np.where(unnamed, other, at), end)
-            known = len(words) - len(rare) + (vocabulary.ends > 0)
-            rows.append((len(words) + 1, known, float(gain.sum()) + end_log, float(gain[unnamed].sum()), int(unnamed.sum()), _to_bytes(ids), rare))
-        others = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 7, kinds)]
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), *others], ["doc_id", "held_out", "judges", "n_tokens", "n_known", "base_sum", "other_sum", "n_other", "ids", "rare"])
+        for piece in _pieces(batch, 3):
+            texts = _split(piece.column(3))
+            words, bounds = texts.flatten(), texts.offsets.to_numpy()
+            full = pc.greater(pc.binary_length(words), 0)
+            words, bounds = words.filter(full), np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))[bounds]
+            places = pc.index_in(words, frequent_words.cast(words.type)).fill_null(missing).to_numpy()
+            rare = places == missing
+            at = np.insert(places, bounds[1:], end)
+            heads, ends = bounds[:-1] + np.arange(len(texts)), bounds[1:] + np.arange(len(texts))
+            gain, unnamed, ids = logs[at], symbols[at] == vocabulary.other, symbols[at]
+            n_rare = np.diff(np.append(0, np.cumsum(rare))[bounds])
+            columns = [
+                ends - heads + 1,
+                ends - heads - n_rare + (vocabulary.ends > 0),
+                np.add.reduceat(gain, heads),
+                np.add.reduceat(np.where(unnamed, gain, 0.0), heads),
+                np.add.reduceat(unnamed, heads, dtype=np.int64),
+                pa.array([_to_bytes(ids[low : high + 1]) for low, high in zip(heads, ends)], pa.binary()),
+                pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_rare)), pa.int32()), words.filter(pa.array(rare)).cast(pa.binary())),
+            ]
+            yield pa.RecordBatch.from_arrays([*(piece.column(i) for i in range(3)), *map(pa.array, columns)], ["doc_id", "held_out", "judges", "n_tokens", "n_known", "base_sum", "other_sum", "n_other", "ids", "rare"])
 
 
 # --- training -----------------------------------------------------------------------
@@ -209,6 +238,18 @@ def start(counts: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
     return Model(contexts, np.zeros((len(counts), dimensions), np.float32), np.log(share).astype(np.float32))
 
 
+def _runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of the rows by number, then place; where each number starts; the numbers.
+
+    A place shares a key with its number, as plain keys are sorted faster than a stable order.
+    """
+    bits = len(rows).bit_length()
+    keys = np.sort(rows << bits | np.arange(len(rows)))
+    order, rows = keys & ((1 << bits) - 1), keys >> bits
+    heads = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    return order, heads, rows[heads]
+
+
 class Contrast:
     """Noise-contrastive training of one copy of the parameters, with AdaGrad by row."""
 
@@ -222,27 +263,32 @@ class Contrast:
         self.seen = np.ones((3, n), np.float32) if model.seen is None else model.seen.copy()
         self.met_context, self.met_target = np.zeros(n), np.zeros(n)
 
-    def _descend(self, table, seen, rows, gradient) -> None:
+    def _descend(self, table, seen, runs, gradient) -> None:
         """Add up the gradients of equal rows, then step."""
-        order = np.argsort(rows, kind="stable")
-        rows = rows[order]
-        heads = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        total, at = np.add.reduceat(gradient[order], heads, axis=0), rows[heads]
-        seen[at] += (total * total).mean(axis=1) if total.ndim > 1 else total * total
-        step = self.rate / np.sqrt(seen[at])
-        table[at] += total * (step[:, None] if total.ndim > 1 else step)
+        order, heads, at = runs
+        total = np.add.reduceat(gradient.take(order, axis=0), heads, axis=0)
+        so_far = seen.take(at)
+        so_far += (total * total).mean(axis=1) if total.ndim > 1 else total * total
+        seen[at] = so_far
+        step = self.rate / np.sqrt(so_far)
+        total *= step[:, None] if total.ndim > 1 else step
+        table[at] = table.take(at, axis=0) + total
 
     def learn(self, context, target, weight) -> None:
         """One step on a batch of pairs; the batch shares its noise words."""
         drawn = np.minimum(np.searchsorted(self.cumulative, self.rng.random(self.noise)), len(self.b) - 1)
-        r, q, n = self.r[context], self.q[target], self.q[drawn]
-        true = np.einsum("ij,ij->i", r, q) + self.b[target] - self.log_noise[target]
-        false = r @ n.T + (self.b[drawn] - self.log_noise[drawn])
+        r, q, n = self.r.take(context, axis=0), self.q.take(target, axis=0), self.q[drawn]
+        true = np.einsum("ij,ij->i", r, q) + self.b.take(target) - self.log_noise.take(target)
         up = weight / (1 + np.exp(true))
-        down = -weight[:, None] / (1 + np.exp(-false))
-        self._descend(self.r, self.seen[0], context, up[:, None] * q + down @ n)
-        self._descend(self.q, self.seen[1], np.concatenate([target, drawn]), np.concatenate([up[:, None] * r, down.T @ r]))
-        self._descend(self.b, self.seen[2], np.concatenate([target, drawn]), np.concatenate([up, down.sum(axis=0)]))
+        down = r @ -n.T  # in place: this is the largest array
+        down -= self.b[drawn] - self.log_noise[drawn]
+        np.exp(down, out=down)
+        down += 1
+        np.divide(-weight[:, None], down, out=down)
+        targets = _runs(np.concatenate([target, drawn]))
+        self._descend(self.r, self.seen[0], _runs(context), up[:, None] * q + down @ n)
+        self._descend(self.q, self.seen[1], targets, np.concatenate([up[:, None] * r, down.T @ r]))
+        self._descend(self.b, self.seen[2], targets, np.concatenate([up, down.sum(axis=0)]))
 
     def learn_texts(self, texts: list[np.ndarray], end: int) -> None:
         """All pairs of the texts, each distinct pair once with its count as weight."""
@@ -342,22 +388,32 @@ def normalisers(spark, model: Model, contexts: np.ndarray | None = None) -> np.n
 
 
 def token_log_probabilities(ids: np.ndarray, before: np.ndarray, model: Model, log_sums: np.ndarray) -> np.ndarray:
-    scores = np.einsum("ij,ij->i", model.contexts[before], model.targets[ids]) + model.biases[ids]
-    return scores.astype(np.float64) - log_sums[before]
+    scores = np.einsum("ij,ij->i", model.contexts.take(before, axis=0), model.targets.take(ids, axis=0)) + model.biases.take(ids)
+    return scores.astype(np.float64) - log_sums.take(before)
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model, log_sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Texts are scored many at once; a long one in steps, so only one number per token is held."""
     end = len(log_sums) - 1
+
+    def sums(texts):
+        ids = np.concatenate(texts).astype(np.int64)
+        before = np.append(end, ids[:-1])  # a text starts after the end of another
+        scores = np.concatenate([token_log_probabilities(ids[i : i + _SCORED_TOKENS], before[i : i + _SCORED_TOKENS], model, log_sums) for i in range(0, len(ids), _SCORED_TOKENS)])
+        scores[scores == -np.inf] = 0.0  # after a context without a normaliser
+        return np.add.reduceat(scores, np.cumsum([0, *map(len, texts[:-1])]))
+
     for batch in batches:
-        sums = []
+        found, texts, size = [], [], 0
         for blob in batch.column(1):
-            ids = _from_bytes(blob.as_py()).astype(np.int64)
-            before = np.concatenate([[end], ids[:-1]])
-            known = log_sums[before] != np.inf
-            ids, before = ids[known], before[known]
-            steps = range(0, len(ids), _SCORED_TOKENS)
-            sums.append(sum(token_log_probabilities(ids[i : i + _SCORED_TOKENS], before[i : i + _SCORED_TOKENS], model, log_sums).sum() for i in steps))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.float64())], [ROW_ID, "symbol_score"])
+            texts.append(_from_bytes(blob.as_py()))
+            size += len(texts[-1])
+            if size >= _SCORED_AT_ONCE:
+                found.append(sums(texts))
+                texts, size = [], 0
+        if texts:
+            found.append(sums(texts))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([np.empty(0), *found]))], [ROW_ID, "symbol_score"])
 
 
 def _symbol_scores(coded: DataFrame, model: Model, log_sums: np.ndarray) -> DataFrame:

@@ -4,6 +4,7 @@ import bisect
 import hashlib
 import math
 import random
+import sys
 import zlib
 from collections import Counter
 
@@ -254,6 +255,107 @@ def test_lm_normalisers_in_pieces(spark, monkeypatch):
     assert np.flatnonzero(some != np.inf).tolist() == [2, 29] and np.allclose(some[[2, 29]], want[[2, 29]], atol=1e-5)
 
 
+_LM_TEXTS = [bytes([i]) + b"a" + bytes([i]) + b"B" + bytes([i]) for i in range(256)] + [None, b"", b" ", b"A a the\xc3\x89 the", b"\xff\xfe A\x00"] + [b"the x%d " % (i % 50) * (i % 7) for i in range(500)]
+
+
+def _lm_batches(texts, kind, size):
+    plain = [pa.array([None] * len(texts), k) for k in (pa.int64(), pa.bool_(), pa.bool_())]
+    whole = pa.RecordBatch.from_arrays([*plain, pa.array(texts, kind)], ["doc_id", "held_out", "judges", "text"])
+    return [whole.slice(i, size) for i in range(0, len(texts), size)]
+
+
+@pytest.mark.parametrize("pieces", (1 << 24, 40))
+@pytest.mark.parametrize("kind", (pa.binary(), pa.large_binary()))
+def test_lm_words_as_plainly_split(kind, pieces, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "_SPLIT_BYTES", pieces, raising=False)
+    monkeypatch.setattr(lm_scoring, "_COUNTED_WORDS", 100 if pieces == 40 else 400_000)
+    split = [(t or b"").lower().split() for t in _LM_TEXTS]
+    want = Counter(w for words in split for w in words)
+    found = Counter()
+    for batch in lm_scoring._count(b.select(["text"]) for b in _lm_batches(_LM_TEXTS, kind, 300)):
+        for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+            found[word] += n
+    assert found == want | Counter({b"": len(_LM_TEXTS)})
+
+    known = [w for w, n in want.most_common(60)]
+    vocabulary = lm_scoring.Vocabulary(known, np.array([want[w] for w in known]), 1, want.total() + len(split), len(want) + 1, len(split), 32)
+    rows = [r for b in lm_scoring._code(iter(_lm_batches(_LM_TEXTS, kind, 300)), vocabulary) for r in b.to_pylist()]
+    assert len(rows) == len(split)
+    for row, words in zip(rows, split):
+        places = [known.index(w) if w in known else 60 for w in words]
+        log = [math.log10(want[w] + 1) if w in known else 0.0 for w in words]
+        assert lm_scoring._from_bytes(row["ids"]).tolist() == [p if p < 30 else 30 for p in places] + [31]
+        assert row["rare"] == [w for w in words if w not in known]
+        assert (row["n_tokens"], row["n_known"], row["n_other"]) == (len(words) + 1, sum(p < 60 for p in places) + 1, sum(p >= 30 for p in places))
+        assert row["base_sum"] == pytest.approx(sum(log) + math.log10(len(split) + 1))
+        assert row["other_sum"] == pytest.approx(sum(x for x, p in zip(log, places) if p >= 30))
+
+
+def test_lm_words_and_texts_take_no_call_each():
+    """Words are split, counted and numbered, and texts scored, many to a call."""
+
+    def calls(rows):
+        n = 0
+
+        def count(frame, event, arg):
+            nonlocal n
+            n += event in ("call", "c_call")
+
+        sys.setprofile(count)
+        try:
+            out = list(rows)
+        finally:
+            sys.setprofile(None)
+        return n, out
+
+    vocabulary = lm_scoring.Vocabulary([b"a", b"b"], np.array([20_000, 10_000]), 1, 31_000, 3, 1000, 4)
+    short, long = [b"a b a"] * 1000, [b"a b a " * 10_000]
+    assert calls(lm_scoring._count(b.select(["text"]) for b in _lm_batches(short, pa.binary(), 1000)))[0] < 1000
+    n, coded = calls(lm_scoring._code(iter(_lm_batches(long, pa.binary(), 1)), vocabulary))
+    assert n < 1000
+    assert len(lm_scoring._from_bytes(coded[0].column("ids")[0].as_py())) == 30_001
+    coded = [*lm_scoring._code(iter(_lm_batches(short, pa.binary(), 1000)), vocabulary)][0]
+    texts = pa.RecordBatch.from_arrays([pa.array(range(1000)), coded.column("ids")], ["id", "ids"])
+    assert calls(lm_scoring._score(iter([texts]), lm_scoring.start(vocabulary.symbol_counts()), np.zeros(4)))[0] < 15_000
+
+
+def test_lm_scores_many_texts_as_one_by_one(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "_SCORED_TOKENS", 50)
+    monkeypatch.setattr(lm_scoring, "_SCORED_AT_ONCE", 70, raising=False)
+    rng = np.random.Generator(np.random.PCG64(4))
+    model = lm_scoring.Model(*(rng.normal(0, 1, shape).astype(np.float32) for shape in ((30, 3), (30, 3), 30)))
+    log_sums = np.where(np.arange(30) % 4 == 1, np.inf, rng.normal(3, 1, 30))
+    texts = [np.append(rng.integers(0, 29, n), 29) for n in (0, 1, 3, 0, 40, 400, 2, 0, 90, 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([lm_scoring._to_bytes(t) for t in texts])], ["id", "ids"])
+    found = [x for b in lm_scoring._score(iter([batch, batch.slice(0, 0)]), model, log_sums) for x in b.column(1).to_pylist()]
+    pairs = [list(zip([29, *t[:-1]], t)) for t in texts]
+    want = [sum(float(model.contexts[h] @ model.targets[w] + model.biases[w]) - log_sums[h] for h, w in p if h % 4 != 1) for p in pairs]
+    assert found == pytest.approx(want, rel=1e-5)
+
+
+def test_lm_steps_add_up_equal_rows():
+    rng = np.random.Generator(np.random.PCG64(6))
+    model = lm_scoring.start(np.arange(40.0, 10, -1))
+    model.targets[:] = rng.normal(0, 1, model.targets.shape)
+    copy, plain = (lm_scoring.Contrast(model, np.arange(40.0, 10, -1), noise=5, seed=3) for _ in range(2))
+    context, target, weight = rng.integers(0, 30, 90), rng.integers(0, 30, 90), rng.integers(1, 5, 90).astype(np.float32)
+    copy.learn(context, target, weight)
+
+    drawn = np.searchsorted(plain.cumulative, plain.rng.random(5))
+    share = np.log(5 * (np.arange(40.0, 10, -1) + 1) / (np.arange(40.0, 10, -1) + 1).sum())
+    gradient = [np.zeros((30, 8)), np.zeros((30, 8)), np.zeros(30)]
+    for h, w, n in zip(context, target, weight):
+        for word, real in [(w, True), *((d, False) for d in drawn)]:
+            odds = math.exp(model.contexts[h] @ model.targets[word] + model.biases[word] - share[word])
+            up = n / (1 + odds) if real else -n * odds / (1 + odds)
+            gradient[0][h] += up * model.targets[word]
+            gradient[1][word] += up * model.contexts[h]
+            gradient[2][word] += up
+    for table, first, total in zip((copy.r, copy.q, copy.b), (model.contexts, model.targets, model.biases), gradient):
+        square = (total * total).mean(axis=1, keepdims=True) if total.ndim > 1 else total * total
+        assert np.allclose(table, first + lm_scoring.LEARNING_RATE * total / np.sqrt(1 + square), atol=1e-5)
+
+
 def test_lm_empty(empty):
     assert lm_scoring.score(empty).count() == 0
 
