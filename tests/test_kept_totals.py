@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from starmart import published
+from starmart import published, storage
 from starmart.operators.upsert import upsert_partitions
 from starmart.plans import dimensions, kept_totals, reports
 from starmart.plans.warehouse import FACT_SCHEMA
@@ -151,3 +151,69 @@ def test_orders_of_products_take_one_shuffle(spark):
     found = kept_totals.totals(lines, "order_date_day").filter(F.col("kind") == kept_totals.PRODUCT_ORDERS)
     assert sorted((r.member, r.bucket, list(r.positions)) for r in found.collect()) == [(1, 1, [2]), (1, 2, [7231]), (2, 1, [2])]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+
+
+def test_sums_of_a_product_stand_beside_its_orders(spark, loaded):
+    """A product's lines are moved once; only the placeholder, which has no set, has rows of its own."""
+    kept = kept_totals.read(spark, loaded[1])
+    assert as_rows(kept.filter(F.col("kind") == kept_totals.PRODUCTS), "member", "lines") == [(-1, 5)]
+    orders = kept.filter((F.col("kind") == kept_totals.PRODUCT_ORDERS) & (F.col("member") == 7))
+    assert as_rows(orders, "bucket", "units", "lines", "exceptions") == [(2, 150, 50, 0)]
+
+
+def test_lines_are_moved_once_and_written_as_they_lie(spark, tmp_path, monkeypatch):
+    path, kept, plans = str(tmp_path / "fact"), str(tmp_path / "kept"), []
+    upsert_partitions(path, frame(spark, FIRST))
+    right = storage.write_as_cut
+
+    def watched(rows, *args, **options):
+        with_sets = rows.filter(F.col("kind") != kept_totals.PRODUCTS)
+        plans.append(with_sets._jdf.queryExecution().executedPlan().toString())
+        right(rows, *args, **options)
+
+    monkeypatch.setattr(storage, "write_as_cut", watched)
+    asked = spark.conf.get("spark.sql.execution.replaceHashWithSortAgg")
+    kept_totals.refresh(spark, path, FACT_SCHEMA, kept)
+    assert plans[0].count("Exchange rangepartitioning") == 2 and plans[0].count("Exchange") == 2
+    # each kind is sorted once, not again by an aggregate that has too many cells to hash
+    assert plans[0].count("Sort [") == 2 and "ObjectHash" not in plans[0]
+    assert spark.conf.get("spark.sql.execution.replaceHashWithSortAgg") == asked
+
+
+@pytest.mark.parametrize("most, moved", [(2 * 95, True), (2 * 94, False)])
+def test_a_bucket_of_many_lines_is_added_up_first(spark, tmp_path, monkeypatch, most, moved):
+    """94 and 95 lines of a day and bucket: those of one order, and those of the whole bucket."""
+    path, kept, asked = str(tmp_path / "fact"), str(tmp_path / "kept"), []
+    lines = [line(i, 5 if i else 6, i % 2 + 1, DAYS[0], 2, "1.00") for i in range(95)]
+    lines += [line(100 + i, 40_000 + i, 1, DAYS[0], 2, "1.00") for i in range(3)]
+    upsert_partitions(path, frame(spark, lines))
+    right = kept_totals.totals
+    monkeypatch.setattr(kept_totals, "totals", lambda *a, **b: asked.append(b["move_lines"]) or right(*a, **b))
+    monkeypatch.setattr(storage, "ROWS_PER_TASK", most)
+    kept_totals.refresh(spark, path, FACT_SCHEMA, kept)
+    assert asked == [moved]
+    assert_same_reports(spark, path, kept)
+
+
+def test_lines_without_product_or_order(spark, tmp_path):
+    fact = frame(spark, [line(1, 5, 3, DAYS[0], 2, "1.00"), line(2, 5, None, DAYS[0], 2, "1.00"), line(3, None, 3, DAYS[1], 2, "2.00"), line(4, None, 4, DAYS[1], 2, "4.00")])
+    path, kept = str(tmp_path / "fact"), str(tmp_path / "kept")
+    upsert_partitions(path, fact)
+    kept_totals.refresh(spark, path, FACT_SCHEMA, kept)
+    found = kept_totals.product_totals(kept_totals.read(spark, kept))
+    assert as_rows(found) == [(3, 6, Decimal("3.00000000"), 1), (4, 5, Decimal("4.00000000"), 0)]
+    assert kept_totals.kpis(kept_totals.read(spark, kept)).first().total_lines == 4
+
+
+def test_totals_published_before_sums_and_sets_were_one(spark):
+    """Then all products had their sums in rows of their own, and the sets had none."""
+    rows = [
+        (kept_totals.PRODUCTS, 1, None, 5, Decimal("2.00"), 4, 1, None, None, None),
+        (kept_totals.PRODUCTS, -1, None, 1, None, 1, 1, None, None, None),
+        (kept_totals.PRODUCT_ORDERS, 1, 1, None, None, None, None, [3, 4], None, None),
+        (kept_totals.PRODUCT_ORDERS, 1, 1, None, None, None, None, [4], None, None),
+    ]
+    kept = spark.createDataFrame(rows, kept_totals.COLUMNS)
+    assert as_rows(kept_totals.product_totals(kept)) == [(1, 5, Decimal("2.00000000"), 2)]
+    kpis = kept_totals.kpis(kept).first()
+    assert (kpis.total_units, kpis.total_lines, kpis.dq_exceptions) == (6, 5, 2)
